@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STAMP = "yyyy-MM-dd HH:mm:ss"
-LOOSE_STAMP = "yyyy-M-d H:m:s"
 CLOCK = ["ingestion_timestamp", "processing_timestamp"]
 
 
@@ -24,6 +22,22 @@ def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
+def stamp_text(moment: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``, fractions of a second cut off."""
+    return F.substring(moment.cast("string"), 1, 19)
+
+
+def day_text(moment: Column) -> Column:
+    return F.substring(moment.cast("string"), 1, 10)
+
+
+def loose(text: Column) -> Column:
+    """Without the leading zero of each field."""
+    for separator in "- :":
+        text = F.replace(text, F.lit(separator + "0"), F.lit(separator))
+    return text
+
+
 def business(spark: SparkSession, sf_dir: str) -> DataFrame:
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     price = F.col("o_totalprice")
@@ -34,7 +48,7 @@ def business(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("o_orderkey").alias("business_id"),
         F.when(~unnamed, named).alias("name"),
         F.concat(F.lit("Customer "), _text("o_custkey")).alias("address"),
-        F.nullif(F.date_format("o_orderdate", "yyyy-MM"), F.lit("1996-03")).alias("city"),
+        F.nullif(F.substring(_text("o_orderdate"), 1, 7), F.lit("1996-03")).alias("city"),
         status.alias("state"),
         F.substring(priority, 1, 1).alias("postal_code"),
         (price / 10000).alias("latitude"),
@@ -53,9 +67,9 @@ def review(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag, shipped = F.col("l_returnflag"), F.col("l_shipdate")
     key = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     date = (
-        F.when(flag == "A", F.date_format(shipped, STAMP))
-        .when(flag == "R", F.concat(F.date_format(shipped, LOOSE_STAMP), F.lit(" UTC")))
-        .otherwise(F.date_format(shipped, "yyyy-MM-dd"))
+        F.when(flag == "A", stamp_text(shipped))
+        .when(flag == "R", F.concat(loose(stamp_text(shipped)), F.lit(" UTC")))
+        .otherwise(day_text(shipped))
     )
     return given(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", *(_text(k) for k in key)).alias("review_id"),
@@ -80,9 +94,9 @@ def user(spark: SparkSession, sf_dir: str) -> DataFrame:
     segment, nation = F.col("c_mktsegment"), F.col("c_nationkey")
     joined = F.date_add(F.lit("2005-01-01").cast("date"), nation)
     since = (
-        F.when(segment == "AUTOMOBILE", F.date_format(joined, "yyyy-MM-dd"))
-        .when(segment == "BUILDING", F.concat(F.date_format(joined, "yyyy-MM-dd"), F.lit(" 03:04:05")))
-        .when(segment == "MACHINERY", F.date_format(joined, "yyyy-M-d"))
+        F.when(segment == "AUTOMOBILE", joined.cast("string"))
+        .when(segment == "BUILDING", F.concat(joined.cast("string"), F.lit(" 03:04:05")))
+        .when(segment == "MACHINERY", loose(joined.cast("string")))
         .when(segment == "FURNITURE", "bad")
     )
     return given(spark, sf_dir, "customer").select(
@@ -103,7 +117,7 @@ def checkin(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, ts = F.col("event_type"), F.col("ts")
     later = ts + F.expr("INTERVAL 90 MINUTES")
     bad = F.when(kind == "error", "bad")
-    packed = F.concat_ws(", ", F.date_format(ts, STAMP), F.date_format(later, STAMP), bad)
+    packed = F.concat_ws(", ", stamp_text(ts), stamp_text(later), bad)
     return given(spark, sf_dir, "events").select(
         F.when(F.col("value") >= 10, _text("user_id")).alias("business_id"),
         F.when(kind == "purchase", "").when(kind != "signup", packed).alias("date"),

@@ -66,11 +66,15 @@ def all_succeeded(outcomes: list[Outcome]) -> bool:
     return all(o.status == SUCCESS for o in outcomes)
 
 
-def _attempt(stage: str, table: str, work: Callable[[], dict]) -> Outcome:
+def _attempt(
+    stage: str, table: str, work: Callable[[], dict], rows_wanted: bool = False
+) -> Outcome:
     started = dt.datetime.now(dt.timezone.utc)
     try:
         counts = work()
         status, error = SUCCESS, None
+        if rows_wanted and not counts["rows"]:
+            status, error = FAILED, "no rows loaded"
     except Exception as e:  # recorded with its text; the other tables go on
         counts, status, error = {}, FAILED, f"{type(e).__name__}: {e}"
     ended = dt.datetime.now(dt.timezone.utc)
@@ -91,11 +95,24 @@ def build_bronze(
     """Raw JSON to parquet with provenance; lines that did not fit go to ``rejects``.
 
     ``sources`` maps dataset to path.  ``source_file`` is the file each row was
-    read from, unless ``source_names`` gives a name for the dataset.
+    read from, unless ``source_names`` gives a name for the dataset.  A missing
+    path stops the job before anything is written.
     """
+    opened: dict[str, DataFrame] = {}
 
-    def ingest(dataset: str, path: str) -> dict:
-        raw = read_raw(spark, path, dataset, multi_line)
+    def open_source(dataset: str) -> dict:
+        opened[dataset] = read_raw(spark, sources[dataset], dataset, multi_line)
+        return {}
+
+    checks = [_attempt("bronze", d, lambda d=d: open_source(d)) for d in sources]
+    if not all_succeeded(checks):
+        for check in checks:
+            check.status = FAILED
+            check.error = check.error or "not started: another source is missing"
+        return checks
+
+    def ingest(dataset: str) -> dict:
+        raw = opened[dataset]
         seen = Observation()
         bad = F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed")
         kept = readable(raw.observe(seen, bad))
@@ -106,10 +123,7 @@ def build_bronze(
         overwrite(lines if counts["malformed"] else lines.limit(0), f"{rejects}/{dataset}")
         return counts
 
-    return [
-        _attempt("bronze", dataset, lambda d=dataset, p=path: ingest(d, p))
-        for dataset, path in sources.items()
-    ]
+    return [_attempt("bronze", d, lambda d=d: ingest(d)) for d in sources]
 
 
 # --- silver and gold --------------------------------------------------------
@@ -204,12 +218,9 @@ def load_table(
     keys are unique is loaded without shuffling its rows.
     """
     name, key = contract.name, list(contract.identity)
-    if source.isEmpty():
-        raise ValueError(f"no rows to load into {name}")
     prepared = conform.loadable(normalize_names(source), contract)
-    judged = conform.judge(prepared, contract)
-    held = overwrite(conform.quarantined(judged), to.quarantine(name))
-    sound = conform.accepted(judged, contract)
+    held = overwrite(conform.quarantined(prepared, contract), to.quarantine(name))
+    sound = conform.accepted(prepared, contract)
 
     surplus = {"surplus": F.coalesce(F.sum(F.col("n") - 1), F.lit(0))}
     clashes = overwrite(duplicate_keys(sound, key), to.duplicates(name), surplus)
@@ -237,7 +248,10 @@ def deliver(
     jdbc_url: str | None = None,
     jdbc_extra: dict[str, str] | None = None,
 ) -> list[Outcome]:
-    """Load the five warehouse tables, record metrics, register views, run checks."""
+    """Load the five warehouse tables, record metrics, register the views.
+
+    A table into which nothing was loaded counts as failed.
+    """
 
     def sample() -> DataFrame:
         # Loading reads its source more than once: draw the sample once.
@@ -261,7 +275,10 @@ def deliver(
             load_jdbc(written, jdbc_options(jdbc_url, name, **(jdbc_extra or {})))
         return counts
 
-    outcomes = [_attempt("delivery", name, lambda n=name: load(n)) for name in sources]
+    outcomes = [
+        _attempt("delivery", name, lambda n=name: load(n), rows_wanted=True)
+        for name in sources
+    ]
     record_metrics(spark, to.metrics, run_id, outcomes)
     views.register(spark, delivered(spark, to))
     return outcomes

@@ -10,37 +10,27 @@ from tristrata.contracts import ColumnRule, TableContract
 from tristrata.functions import sanitize
 from tristrata.operators.columns import unloadable
 
-REASONS = "__violations"
 
-
-def judge(df: DataFrame, contract: TableContract) -> DataFrame:
-    """The input plus an array of everything wrong with the row (empty if nothing).
-
-    Both outcomes are then filters over one projection:
-    :func:`accepted` and :func:`quarantined`.
-    """
-    problems = [
+def violations(df: DataFrame, contract: TableContract) -> list[Column]:
+    """One expression per way a row can fail: its reason, or null."""
+    return [
         problem
         for rule in contract.columns
         for problem in _problems(df, rule, rule.name in contract.key)
     ]
-    found = F.array_compact(F.array(*problems)) if problems else F.array()
-    return df.withColumn(REASONS, found.cast("array<string>"))
 
 
-def accepted(judged: DataFrame, contract: TableContract) -> DataFrame:
+def accepted(df: DataFrame, contract: TableContract) -> DataFrame:
     """Sound rows, in the contract's columns and types."""
-    sound = judged.where(F.size(REASONS) == 0)
-    return sound.select(*(_conformed(judged, r).alias(r.name) for r in contract.columns))
+    sound = df.where(F.coalesce(F.lit(None), *violations(df, contract)).isNull())
+    return sound.select(*(_conformed(df, r).alias(r.name) for r in contract.columns))
 
 
-def quarantined(judged: DataFrame) -> DataFrame:
-    """Unsound rows as they came, with their reasons joined by commas."""
-    return (
-        judged.where(F.size(REASONS) > 0)
-        .withColumn("reasons", F.concat_ws(",", REASONS))
-        .drop(REASONS)
-    )
+def quarantined(df: DataFrame, contract: TableContract) -> DataFrame:
+    """Unsound rows as they came, with all their reasons joined by commas."""
+    found = violations(df, contract)
+    unsound = df.where(F.coalesce(F.lit(None), *found).isNotNull())
+    return unsound.withColumn("reasons", F.concat_ws(",", *found))
 
 
 def loadable(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -64,7 +54,16 @@ def _typed(df: DataFrame, rule: ColumnRule) -> Column:
     value = _repaired(df, rule)
     if rule.type == "boolean":
         return sanitize.to_boolean(value)
-    return value.try_cast(rule.type)
+    wanted = T.DataType.fromDDL(rule.type)
+    numeric = rule.name in df.columns and isinstance(
+        df.schema[rule.name].dataType, T.NumericType
+    )
+    if isinstance(wanted, T.DecimalType) and numeric:
+        # Casting a number that is too large works by a caught exception, which
+        # costs far more than a comparison.
+        limit = 10 ** (wanted.precision - wanted.scale)
+        return F.when(F.abs(value) < limit, value.try_cast(wanted))
+    return value.try_cast(wanted)
 
 
 def _conformed(df: DataFrame, rule: ColumnRule) -> Column:

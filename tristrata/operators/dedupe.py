@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def _key_present(key: list[str]) -> Column:
+def key_present(key: list[str]) -> Column:
     return reduce(and_, (F.col(k).isNotNull() for k in key))
 
 
@@ -21,7 +21,7 @@ def duplicate_keys(df: DataFrame, key: list[str], count_as: str = "n") -> DataFr
     a null in them never clash.
     """
     return (
-        df.where(_key_present(key))
+        df.where(key_present(key))
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias(count_as))
         .where(F.col(count_as) > 1)
@@ -39,9 +39,9 @@ def keep_first(
     """
     first = W.partitionBy(*key).orderBy(*order)
     unique = (
-        df.where(_key_present(key))
+        df.where(key_present(key))
         .withColumn("__rank", F.row_number().over(first))
         .where(F.col("__rank") == 1)
         .drop("__rank")
     )
-    return unique.unionByName(df.where(~_key_present(key))) if nulls else unique
+    return unique.unionByName(df.where(~key_present(key))) if nulls else unique

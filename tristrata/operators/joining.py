@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tristrata.operators.dedupe import keep_first
+from tristrata.operators.dedupe import keep_first, key_present
 
 _ALSO = "__join_hash"
 
@@ -37,11 +37,16 @@ def absent(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFram
 
     Of rows that share a key the first in column order is taken.  A null in a key
     equals nothing: such rows are always absent.
+
+    Both sides are brought down to one row per key before they meet, map-side
+    first, and they meet in the partitioning that did it: no hot key, and no
+    shuffle for the join itself.
     """
     order = [f.name for f in incoming.schema if f.dataType.typeName() != "map"]
-    candidates = keep_first(incoming, key, order)
+    candidates = keep_first(incoming, key, order, nulls=False)
     known = existing.select(*key).distinct()
-    return join_summary(candidates, known, key, "left_anti").select(*incoming.columns)
+    new = candidates.join(known, key, "left_anti").select(*incoming.columns)
+    return new.unionByName(incoming.where(~key_present(key)))
 
 
 def insert_if_absent(
