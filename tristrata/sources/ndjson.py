@@ -55,13 +55,14 @@ def readable(raw: DataFrame, fields: list[str] | None = None) -> DataFrame:
 
 
 def malformed(raw: DataFrame) -> DataFrame:
-    """Every line that did not fit the schema, as text."""
-    # The reader needs a declared field beside the malformed text to parse at
-    # all, and only fields it is asked for can be found bad: ask for them all.
-    fields = [c for c in raw.columns if c != MALFORMED]
-    return raw.where(F.col(MALFORMED).isNotNull()).select(
-        F.col(MALFORMED).alias("line"), F.struct(*fields).alias("kept_fields")
-    )
+    """Every line that did not fit the schema, and what could be read of it.
+
+    A line is found bad only in fields the query asks for.  Asking for all of
+    them in the filter keeps that independent of what the caller selects.
+    """
+    kept = F.to_json(F.struct(*(c for c in raw.columns if c != MALFORMED)))
+    bad = raw.where(F.col(MALFORMED).isNotNull() & kept.isNotNull())
+    return bad.select(F.col(MALFORMED).alias("line"), kept.alias("kept"))
 
 
 def audit_source(raw: DataFrame) -> dict[str, int]:
