@@ -20,16 +20,16 @@ def business(i, **more):
     row = {
         "business_id": f"b{i}",
         "name": f"Name {i}",
-        "address": "123 Main St",
-        "city": "Phoenix" if i % 2 else None,
-        "state": "AZ",
-        "postal_code": "85001",
-        "latitude": 33.4484,
-        "longitude": -112.0740,
+        "address": f"{i} Harbour Road",
+        "city": "Lakeside" if i % 2 else None,
+        "state": "NW",
+        "postal_code": "04711",
+        "latitude": 45.25,
+        "longitude": -101.5,
         "stars": 4.0,
-        "review_count": 100,
+        "review_count": 7,
         "is_open": 1,
-        "categories": "Restaurants, Italian",
+        "categories": "Bakery, Tea",
     }
     return {**row, **more}
 
@@ -43,8 +43,8 @@ def review(i, **more):
         "useful": 1,
         "funny": 0,
         "cool": 1,
-        "text": "Great food and service!",
-        "date": "2023-01-01 12:00:00",
+        "text": "Warm bread, cold tea.",
+        "date": "2021-06-05 18:30:00",
     }
     return {**row, **more}
 
@@ -53,13 +53,13 @@ def user(i):
     return {
         "user_id": f"u{i}",
         "name": "None" if i == 0 else f"User {i}",
-        "review_count": 10,
-        "yelping_since": "2020-01-01",
+        "review_count": 12,
+        "yelping_since": "2015-03-04",
         "useful": 5,
         "funny": 2,
         "cool": 3,
         "fans": 1,
-        "average_stars": 4.2,
+        "average_stars": 3.7,
     }
 
 
@@ -294,3 +294,25 @@ def test_jdbc_options():
     options = jdbc_options("jdbc:x", "reviews", batch_rows=1000, user="u")
     assert options["truncate"] == "true" and options["batchsize"] == "1000"
     assert (options["dbtable"], options["user"]) == ("reviews", "u")
+
+
+def test_jdbc_load_reads_the_written_table(spark, layers, tmp_path, monkeypatch):
+    """No database here: what would be sent is checked, not a load."""
+    root, _, _ = layers
+    sent = []
+    monkeypatch.setattr(jobs, "load_jdbc", lambda df, options: sent.append((df, options)))
+    to = jobs.Delivery(str(tmp_path / "w"))
+    jobs.deliver(
+        spark,
+        f"{root}/silver",
+        f"{root}/gold",
+        to,
+        "run-3",
+        sample_rows=5,
+        jdbc_url="jdbc:x",
+        jdbc_extra={"user": "u"},
+    )
+    assert [o["dbtable"] for _, o in sent] == list(jobs.LOAD_ORDER)
+    assert {o["dbtable"]: o["batchsize"] for _, o in sent}["reviews"] == "1000"
+    for df, options in sent:
+        assert df.inputFiles()[0].startswith(f"file://{to.table(options['dbtable'])}")

@@ -54,7 +54,8 @@ class TableContract:
     """A warehouse table: columns in order, and the columns that identify a row.
 
     A ``key`` may not be null.  A ``unique`` set may: rows with a null in it
-    never clash, as in SQL.  ``stamps`` are load-time columns beside the contract.
+    never clash, as in SQL.  ``stamps`` are load-time columns beside the contract,
+    ``batch_rows`` the rows of one insert when the table goes to a database.
     """
 
     name: str
@@ -62,6 +63,7 @@ class TableContract:
     key: tuple[str, ...] = ()
     unique: tuple[str, ...] = ()
     stamps: tuple[str, ...] = ("created_at", "updated_at")
+    batch_rows: int = 5000
 
     @property
     def identity(self) -> tuple[str, ...]:
@@ -85,7 +87,7 @@ def table(name: str, columns: str, **options) -> TableContract:
     return TableContract(name, tuple(rules), **options)
 
 
-# Warehouse columns, lengths and precisions.  Counts and sums are
+# Warehouse columns, lengths, precisions and batch sizes.  Counts and sums are
 # bigint, as Spark computes them.
 WAREHOUSE = {
     c.name: c
@@ -188,6 +190,7 @@ WAREHOUSE = {
             """,
             key=("review_id",),
             stamps=("created_at",),
+            batch_rows=1000,
         ),
     )
 }

@@ -40,8 +40,15 @@ from tristrata.sources.ndjson import MALFORMED, malformed, read_raw, readable
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
-# Fixed value: reviews delivered by the standard job.
+# Reviews delivered by the standard job, and the order of the loads.
 REVIEW_SAMPLE = 1000
+LOAD_ORDER = (
+    "business_analytics",
+    "business_details",
+    "user_analytics",
+    "city_summary",
+    "reviews",
+)
 
 
 @dataclass
@@ -212,6 +219,7 @@ def load_table(
 ) -> dict[str, int]:
     """Contract, quarantine, unique keys, full refresh: ``source`` to a table.
 
+    ``source`` is read up to three times and should be a written table.
     Every input row ends up in one of ``rows``, ``quarantined`` or ``duplicate``.
     Keys held twice are found on the keys alone and written as a report first.
     Only rows with a reported key are ranked against each other, so a table whose
@@ -272,12 +280,13 @@ def deliver(
         counts = load_table(spark, sources[name](), WAREHOUSE[name], to)
         if jdbc_url:
             written = spark.read.parquet(to.table(name))
-            load_jdbc(written, jdbc_options(jdbc_url, name, **(jdbc_extra or {})))
+            batch = WAREHOUSE[name].batch_rows
+            load_jdbc(written, jdbc_options(jdbc_url, name, batch, **(jdbc_extra or {})))
         return counts
 
     outcomes = [
         _attempt("delivery", name, lambda n=name: load(n), rows_wanted=True)
-        for name in sources
+        for name in LOAD_ORDER
     ]
     record_metrics(spark, to.metrics, run_id, outcomes)
     views.register(spark, delivered(spark, to))

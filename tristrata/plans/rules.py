@@ -142,6 +142,8 @@ def run_catalog(spark: SparkSession, rules=CATALOG) -> DataFrame:
 
 
 def _fits(df: DataFrame, rule: Threshold) -> bool:
+    if rule.where is None:
+        return True
     try:
         df.agg(rule.actual().alias("actual")).schema
     except PySparkException:

@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Without it, building each column records where in Python it was built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# Fixed value: rows per insert batch.
-BATCH_ROWS = 5000
-
 
 def jdbc_options(
-    url: str, table: str, batch_rows: int = BATCH_ROWS, connections: int = 8, **more: str
+    url: str, table: str, batch_rows: int, connections: int = 8, **more: str
 ) -> dict[str, str]:
     """Keep the table's definition, empty it, insert in batches.
 
