@@ -81,7 +81,11 @@ def _problems(df: DataFrame, rule: ColumnRule, is_key: bool) -> list[Column]:
     if rule.type not in ("boolean", "string", have):
         found.append(F.when(before.isNotNull() & after.isNull(), f"bad_value:{rule.name}"))
     if rule.max_len:
-        too_long = F.length(F.rtrim(after)) > rule.max_len
+        # Stand-ins for "no value" are short: where none can be too long, the
+        # value is measured as it came.
+        short = max(map(len, sanitize.NULL_TOKENS)) <= rule.max_len
+        text = F.col(rule.name) if short and have == "string" else after
+        too_long = F.length(F.rtrim(text)) > rule.max_len
         found.append(F.when(too_long, f"too_long:{rule.name}"))
     if is_key:
         found.append(F.when(after.isNull(), f"null_key:{rule.name}"))

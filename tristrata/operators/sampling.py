@@ -15,7 +15,7 @@ def capped_sample(
 
     The digest of the key acts as a random but repeatable rank.  Sending every
     task's best ``size`` rows to one place would grow with the number of tasks,
-    so a first pass over the key alone counts digests per bit length (60 groups
+    so a first pass over the key alone counts digests per bit length (130 groups
     at most) and finds the shortest length that still leaves ``size`` rows.  Only
     rows up to that length, about twice ``size``, are then ranked.
     """
@@ -24,11 +24,8 @@ def capped_sample(
     per_length = df.groupBy(bits.alias("bits")).agg(F.count(F.lit(1)).alias("rows"))
     enough = per_length.agg(_shortest_enough(size)).scalar()
     ties = key if ties is None else ties
-    return (
-        df.where(bits <= F.coalesce(enough, F.lit(64)))
-        .orderBy(digest, *ties)
-        .limit(size)
-    )
+    candidates = df.where(enough.isNull() | (bits <= enough))
+    return candidates.orderBy(digest, *ties).limit(size)
 
 
 def bernoulli_sample(df: DataFrame, size: int, total: int, seed: int = SEED) -> DataFrame:
@@ -39,8 +36,11 @@ def bernoulli_sample(df: DataFrame, size: int, total: int, seed: int = SEED) ->
 
 
 def _bit_length(digest: Column) -> Column:
-    """Significant bits of the digest's first 60."""
-    return F.length(F.bin(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")))
+    """Significant bits of a hexadecimal digest, up to a constant."""
+    digits = F.ltrim(digest, F.lit("0"))
+    first = F.substring(digits, 1, 1)
+    in_first = F.when(first < "2", 1).when(first < "4", 2).when(first < "8", 3).otherwise(4)
+    return F.length(digits) * 4 + in_first
 
 
 def _shortest_enough(size: int) -> Column:

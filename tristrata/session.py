@@ -11,7 +11,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Without it, building each column records where in Python it was built.
+    # The JVM does not compile methods above this size; a wide table's contract as
+    # one generated method ran eight times slower interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # When on, building each column records where in Python it was built.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
