@@ -56,9 +56,8 @@ def _raw_events(spark, sf_dir):
         kind,
         F.when(kind == "error", '"').otherwise('"}'),
     )
-    parsed = parse_json(line, "user_id bigint, event_type string")
-    events = given(spark, sf_dir, "events")
-    return events.select("event_id", parsed.alias("row")).select("event_id", "row.*")
+    lines = given(spark, sf_dir, "events").select("event_id", line.alias("line"))
+    return parse_json(lines, "line", "user_id bigint, event_type string")
 
 
 def json_schema_read(spark, sf_dir):

@@ -7,7 +7,14 @@ from tristrata import jobs
 from tristrata.contracts import DATASETS, RAW_SCHEMAS, WAREHOUSE, raw_files
 from tristrata.plans import rules
 from tristrata.sinks.jdbc import jdbc_options
-from tristrata.sources.ndjson import MALFORMED, audit_source, malformed, read_raw, readable
+from tristrata.sources.ndjson import (
+    MALFORMED,
+    audit_source,
+    malformed,
+    parse_json,
+    read_raw,
+    readable,
+)
 
 
 def write_lines(path, rows):
@@ -272,6 +279,28 @@ def test_audit(spark, tmp_path):
     assert MALFORMED in raw.columns
 
 
+def test_json_in_a_column_reads_like_a_file(spark):
+    lines = ['{"a": 1, "b": "x"}', '{"a": "y", "b": "x"}', "{broken", "{}", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, t string")
+    out = parse_json(df, "t", "a int, b string")
+    assert out.columns == ["i", "a", "b", MALFORMED]
+    found = {r.i: (r.a, r.b, r[MALFORMED]) for r in out.collect()}
+    assert found == {
+        0: (1, "x", None),
+        1: (None, "x", lines[1]),
+        2: (None, None, lines[2]),
+        3: (None, None, None),
+        4: (None, None, None),
+    }
+    assert sorted(r.i for r in readable(out, ["a", "b"]).collect()) == [0, 1, 3, 4]
+    assert "from_json" not in plan_filters(out.where("a = 1"))
+
+
+def plan_filters(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in text.splitlines() if "Filter" in line][0]
+
+
 def test_array_files_need_multi_line(spark, tmp_path):
     (tmp_path / "tip.json").write_text(json.dumps(RAW["tip"] * 3, indent=1))
     raw = read_raw(spark, str(tmp_path / "tip.json"), "tip", multi_line=True)

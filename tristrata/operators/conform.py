@@ -52,13 +52,11 @@ def _repaired(df: DataFrame, rule: ColumnRule) -> Column:
 
 def _typed(df: DataFrame, rule: ColumnRule) -> Column:
     value = _repaired(df, rule)
-    if rule.type == "boolean":
-        return sanitize.to_boolean(value)
+    have = df.schema[rule.name].dataType if rule.name in df.columns else None
     wanted = T.DataType.fromDDL(rule.type)
-    numeric = rule.name in df.columns and isinstance(
-        df.schema[rule.name].dataType, T.NumericType
-    )
-    if isinstance(wanted, T.DecimalType) and numeric:
+    if isinstance(wanted, T.BooleanType) and have != wanted:
+        return sanitize.to_boolean(value)
+    if isinstance(wanted, T.DecimalType) and isinstance(have, T.NumericType):
         # Casting a number that is too large works by a caught exception, which
         # costs far more than a comparison.
         limit = 10 ** (wanted.precision - wanted.scale)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tristrata.contracts import RAW_SCHEMAS
@@ -32,13 +32,19 @@ def read_raw(
     )
 
 
-def parse_json(text: str | Column, schema: str) -> Column:
-    """The same reading for JSON that arrives in a column."""
-    return F.from_json(
+def parse_json(df: DataFrame, text: str, schema: str) -> DataFrame:
+    """The same reading for JSON that arrives in a column, which its fields replace.
+
+    The one-element ``inline`` keeps later filters from being moved in front of the
+    parsing, where each field they mention would be parsed for anew.
+    """
+    parsed = F.from_json(
         text,
         f"{schema}, {MALFORMED} string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED},
     )
+    others = [c for c in df.columns if c != text]
+    return df.select(*others, F.inline(F.array(parsed)))
 
 
 def readable(raw: DataFrame, fields: list[str] | None = None) -> DataFrame:
