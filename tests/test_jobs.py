@@ -223,8 +223,15 @@ def test_thresholds_on_delivered_tables(spark, layers):
     assert not passed["Business records count"]
 
 
-def test_reload_replaces(spark, layers):
+def test_reload_replaces(spark, layers, caplog):
     root, to, done = layers
+    jobs.load_table(
+        spark,
+        spark.read.parquet(f"{root}/gold/city_summary").withColumn("Mayor-Name", F.lit("x")),
+        WAREHOUSE["city_summary"],
+        to,
+    )
+    assert "column mayor_name is not loaded: not in contract" in caplog.text
     again = jobs.load_table(
         spark,
         spark.read.parquet(f"{root}/gold/city_summary"),

@@ -8,6 +8,7 @@ the caller.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from decimal import Decimal
@@ -26,7 +27,7 @@ from tristrata.contracts import (
 )
 from tristrata.functions.measures import share
 from tristrata.operators import conform
-from tristrata.operators.columns import normalize_names
+from tristrata.operators.columns import normalize_names, unloadable
 from tristrata.operators.dedupe import duplicate_keys, keep_first
 from tristrata.operators.joining import absent
 from tristrata.operators.sampling import capped_sample
@@ -38,6 +39,8 @@ from tristrata.sinks.jdbc import jdbc_options, load_jdbc
 from tristrata.sinks.tables import append_rows, overwrite
 from tristrata.sources.ndjson import MALFORMED, malformed, read_raw, readable
 
+log = logging.getLogger(__name__)
+
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
 # Reviews delivered by the standard job, and the order of the loads.
@@ -226,7 +229,10 @@ def load_table(
     keys are unique is loaded without shuffling its rows.
     """
     name, key = contract.name, list(contract.identity)
-    prepared = conform.loadable(normalize_names(source), contract)
+    named = normalize_names(source)
+    for column, reason in unloadable(named, contract).items():
+        log.warning("%s: column %s is not loaded: %s", name, column, reason)
+    prepared = conform.loadable(named, contract)
     held = overwrite(conform.quarantined(prepared, contract), to.quarantine(name))
     sound = conform.accepted(prepared, contract)
 
@@ -377,8 +383,8 @@ def record_execution(
     append_rows(spark, path, rows, EXECUTION_LOG)
 
 
-def run_report(log: DataFrame) -> DataFrame:
+def run_report(entries: DataFrame) -> DataFrame:
     """Count and share of each status; no rows, over an empty log, is no error."""
-    total = log.agg(F.count(F.lit(1))).scalar()
-    per_status = log.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    total = entries.agg(F.count(F.lit(1))).scalar()
+    per_status = entries.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
     return per_status.withColumn("percent", share(F.col("n"), total))

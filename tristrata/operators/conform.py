@@ -59,7 +59,7 @@ def _typed(df: DataFrame, rule: ColumnRule) -> Column:
     if isinstance(wanted, T.DecimalType) and isinstance(have, T.NumericType):
         # Casting a number that is too large works by a caught exception, which
         # costs far more than a comparison.
-        limit = 10 ** (wanted.precision - wanted.scale)
+        limit = float(10 ** (wanted.precision - wanted.scale))
         return F.when(F.abs(value) < limit, value.try_cast(wanted))
     return value.try_cast(wanted)
 
