@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,25 +17,16 @@ from tristrata.llm.storage import small_batches, stored, text_of
 LIMIT = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
-#: Parts of texts (a space and what follows) whose ids a worker keeps; others are
-#: encoded each time.
-KEPT_PARTS = 400_000
-
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 
-#: Runs of white space that a tokenizer may read as one, so that no cut may go through.
-_RUNS = re.compile(r"\s\s\s|\s\s\Z")
-
 
 class Encoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit numbers.
 
     The vocabulary is that of the tokenizer file; its merges are run by tiktoken, which
-    gives the same ids several times faster.  The pre-tokenizer never joins a word with
-    the space after it, so a text may be cut before its spaces; ids of parts that come
-    back are kept.  Where a cut could matter, or a special token is spelled out, the
-    tokenizer itself reads the whole text.
+    gives the same ids several times faster.  A text that spells a special token out is
+    read by the tokenizer itself.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -61,49 +50,16 @@ class Encoder:
             "plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
         self.special = sorted(added)
-        self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         code = self.tokenizer.encode(text, add_special_tokens=False)
         return array("I", code.ids).tobytes()
 
-    def _plain(self, text: str) -> bytes:
+    def encode(self, text: str) -> bytes:
+        if any(x in text for x in self.special):
+            return self.whole(text)
         return array("I", self.plain(text)).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = []
-        for text in texts:
-            if _RUNS.search(text) or any(x in text for x in self.special):
-                split.append(None)
-            else:
-                # Only the first part has no space before it.
-                head, *rest = text.split(" ")
-                split.append([head, *map(" ".__add__, rest)])
-        known = self.known
-        if len(known) < KEPT_PARTS:
-            met = Counter(p for parts in split if parts for p in parts if p not in known)
-            for part, times in met.items():
-                if times > 1 and len(part) < 40:
-                    known[part] = self._plain(part)
-        out = []
-        for text, parts in zip(texts, split, strict=True):
-            if parts is None:
-                out.append(self.whole(text))
-                continue
-            coded, new = [], []
-            for part, code in zip(parts, map(known.get, parts), strict=True):
-                if code is None:
-                    new.append(part)
-                elif new:
-                    coded += (self._plain("".join(new)), code)
-                    new = []
-                else:
-                    coded.append(code)
-            if new:
-                coded.append(self._plain("".join(new)))
-            out.append(b"".join(coded))
-        return out
-
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -134,9 +90,9 @@ def token_pieces(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder, end = _encoder(path), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            ids, out = encoder.encode(list(batch["text"])), []
-            for doc, code in zip(batch["doc_id"], ids, strict=True):
-                code += end
+            out = []
+            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+                code = encoder.encode(text) + end
                 n = len(code) // 4
                 stop = n % limit or limit
                 begin = piece = 0
