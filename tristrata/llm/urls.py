@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 #: Slots of the hashed feature space, n-gram lengths, and the fit.
 SLOTS = 4096
 NGRAMS = (3, 4)
-STEPS = 600
-RATE = 4.0
-DECAY = 0.00001
+STEPS = 150
+RATE = 2.0
+MOMENTUM = 0.9
+DECAY = 0.0001
 
 RULES = (
     ("allow", "org", "/"),
@@ -50,7 +51,7 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
     pick = lambda of, step: F.element_at(
         F.array(*map(F.lit, of)), F.pmod(F.col("k") * step + F.col("r"), F.lit(len(of))) + 1
     )
-    return words.withColumn("r", F.explode(F.array(F.lit(0), F.lit(1)))).select(
+    return words.withColumn("r", F.explode(F.array(*map(F.lit, range(4))))).select(
         F.concat(pick(_PREFIXES, 1), "word", F.lit(".example."), pick(_ENDINGS, 2)).alias("host"),
         pick(_PATHS, 1).alias("path"),
         "label",
@@ -129,16 +130,19 @@ def fit_weights(labelled: DataFrame) -> DataFrame:
     step = f"""
         aggregate(
           sequence(1, {STEPS}),
-          array_repeat(0D, {SLOTS + 1}),
-          (w, _) -> transform(
+          struct(array_repeat(0D, {SLOTS + 1}) as w, array_repeat(0D, {SLOTS + 1}) as v),
+          (m, _) -> transform(
             array(transform(x, (s, i) ->
-              y[i] - 1 / (1 + exp(-w[{SLOTS}] - aggregate(
-                s, 0D, (a, k) -> a + w[k]) / sqrt(cast(size(s) + 1 as double)))))),
-            e -> concat(
-              transform(of, (r, k) -> w[k] * {1 - DECAY}D + {RATE}D / n * aggregate(
-                r, 0D, (a, i) -> a + e[i] / sqrt(cast(size(x[i]) + 1 as double)))),
-              array(w[{SLOTS}] + {RATE}D / n * aggregate(e, 0D, (a, v) -> a + v))
-            ))[0])
+              y[i] - 1 / (1 + exp(-m.w[{SLOTS}] - aggregate(
+                s, 0D, (a, k) -> a + m.w[k]) / sqrt(cast(size(s) + 1 as double)))))),
+            e -> transform(
+              array(concat(
+                transform(of, (r, k) -> {MOMENTUM}D * m.v[k] - {RATE * DECAY}D * m.w[k] +
+                  {RATE}D / n * aggregate(
+                    r, 0D, (a, i) -> a + e[i] / sqrt(cast(size(x[i]) + 1 as double)))),
+                array({MOMENTUM}D * m.v[{SLOTS}] + {RATE}D / n * aggregate(
+                  e, 0D, (a, d) -> a + d)))),
+              v -> struct(zip_with(m.w, v, (a, b) -> a + b) as w, v as v))[0])[0]).w
     """
     return data.select(F.expr(step).alias("weights"))
 
