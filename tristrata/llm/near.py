@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tristrata.llm.storage import small_batches, stored, text_of
+from tristrata.llm.storage import maybe_at, place_of, small_batches, stored, text_of, without_places
 from tristrata.llm.words import Words, mix, shingle_sets
 
 #: Longs in a document's parity sketch.
@@ -18,9 +18,6 @@ SKETCH_LONGS = 8
 #: Rounds in which a part's documents are held against one of them, before the rest.
 STAR_ROUNDS = 2
 
-#: Bits of the filter for texts that are read again.
-FILTER_BITS = 1 << 22
-
 _U = np.uint64
 
 
@@ -86,11 +83,6 @@ def _part_keys(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out).astype("int64") if out else np.zeros(0, "int64")
 
 
-def _place():
-    """Finds a document's row again, or one that equals it."""
-    return F.xxhash64("doc_id", text_of())
-
-
 def _sketched(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -111,7 +103,7 @@ def _sketched(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     schema = "doc_id long, place long, n_shingles long, d1 long, d2 long"
     schema += ", sketch array<long>, keys array<long>"
     read = docs.select(
-        F.col("doc_id").cast("long"), _place().alias("place"), text_of().alias("text")
+        F.col("doc_id").cast("long"), place_of().alias("place"), text_of().alias("text")
     )
     return read.mapInPandas(made, schema).withColumn("row", F.monotonically_increasing_id())
 
@@ -130,24 +122,10 @@ def _may_link(n: str, m: str, sketch: str, other: str, num: int, den: int):
     )
 
 
-def _bitmap(places: DataFrame) -> DataFrame:
-    """One row: a bit for each hash of ``place``.  Its size is fixed (512 KB)."""
-    bit = F.pmod(F.xxhash64("place"), F.lit(FILTER_BITS))
-    longs = places.groupBy(F.shiftright(bit, 6).alias("id")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(place), {FILTER_BITS}) % 64 as int))"))
-        .alias("bits")
-    )
-    every = places.sparkSession.range(FILTER_BITS // 64)
-    filled = every.join(longs, "id", "left").select("id", F.coalesce("bits", F.lit(0)).alias("b"))
-    ordered = F.sort_array(F.collect_list(F.struct("id", "b")))
-    return filled.agg(ordered.alias("o")).select(F.transform("o", lambda x: x["b"]).alias("bits"))
-
-
 def _linked(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, num: int, den: int):
     """The pairs (u, v) whose shingle sets, made again from the texts, do link.
 
-    Only texts that are in a pair are wanted.  A bitmap of fixed size lets most others
-    go before the shuffle; the join that follows is exact.
+    Only texts that are in a pair are wanted, and few others reach the shuffle.
     """
     ends = pairs.select(F.explode(F.array("u", "v")).alias("row")).distinct()
     wanted = stored(rows.select("row", "place").join(ends, "row"))
@@ -159,14 +137,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, num: int
                 {"row": batch["row"], "shingles": [s.astype("int64") for s in sets]}
             )
 
-    slot = f"pmod(xxhash64(place), {FILTER_BITS})"
-    texts = (
-        docs.select(_place().alias("place"), text_of().alias("text"))
-        .withColumn("bits", _bitmap(wanted.select("place")).scalar())
-        .where(F.expr(f"shiftright(bits[cast({slot} / 64 as int)], cast({slot} % 64 as int)) & 1 = 1"))
-        .drop("bits")
-        .join(wanted, "place")
-    )
+    texts = maybe_at(docs, wanted).select("place", text_of().alias("text")).join(wanted, "place")
     sets = stored(
         texts.select("row", "text")
         .mapInPandas(made, "row long, shingles array<long>")
@@ -256,30 +227,11 @@ def components(links: DataFrame) -> DataFrame:
         before = seen
 
 
-def near_components(
-    docs: DataFrame, n: int = 3, num: int = 90, den: int = 100
-) -> DataFrame:
-    """Every document with its number of shingles and its component of links.
-
-    Documents link if ``den`` * intersection >= ``num`` * union of their sets of distinct
-    ``n``-word shingles (words lower-cased A-Z; with fewer words the whole sequence is
-    one shingle).  Columns: doc_id, n_shingles, component_id (the smallest doc_id that
-    links lead to, the document's own included).
+def near_groups(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` with ``label``, one for each component, and the components.
 
-    1. Documents with equal sets form a class; classes take part once.
-    2. A set's shingles are dealt by hash into one part more than linked sets of its size
-       band may differ in, and each part is summed up by exclusive or: linked sets agree
-       in a part.  Classes meet where a part's parity is equal.
-    3. There, pairs pass whose sizes and whole parity sketches allow a link, and are then
-       verified on the sets themselves.  First all classes of a part are held against one
-       of them, in STAR_ROUNDS rounds with another one each; components are formed, and
-       only classes of a part that are still in different components are paired.  So
-       groups of copies cost their size, not its square, and no link between components
-       is lost.
-
-    Null or empty texts and texts without words have no shingles, link with nothing and
-    are their own component.  A null doc_id takes part, but is never a component's id
-    while another id is there.  Repeated rows are one class.  Other columns are ignored.
+    Rows: doc_id, place, row, n_shingles, label (null without shingles).  Components:
+    label, component_id.  See near_components.
     """
     small_batches(docs.sparkSession)
     rows = stored(_sketched(docs, n, num, den))
@@ -320,15 +272,62 @@ def near_components(
                 "node", F.coalesce("label", "node").alias("label")
             )
         )
-    lows = classes.join(labels, "node", "left").select(
-        "n_shingles", "d1", "d2", "low", F.coalesce("label", "node").alias("label")
-    )
-    ids = lows.groupBy("label").agg(F.min("low").alias("component_id"))
-    of_class = lows.join(ids, "label").select("n_shingles", "d1", "d2", "component_id")
-    return (
-        rows.select("doc_id", "n_shingles", "d1", "d2")
-        .join(of_class, ["n_shingles", "d1", "d2"], "left")
-        .select(
-            "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    lows = stored(
+        classes.join(labels, "node", "left").select(
+            "n_shingles", "d1", "d2", "low", F.coalesce("label", "node").alias("label")
         )
     )
+    grouped = rows.select("doc_id", "place", "row", "n_shingles", "d1", "d2").join(
+        lows.drop("low"), ["n_shingles", "d1", "d2"], "left"
+    )
+    return grouped.drop("d1", "d2"), lows.groupBy("label").agg(F.min("low").alias("component_id"))
+
+
+def near_components(
+    docs: DataFrame, n: int = 3, num: int = 90, den: int = 100
+) -> DataFrame:
+    """Every document with its number of shingles and its component of links.
+
+    Documents link if ``den`` * intersection >= ``num`` * union of their sets of distinct
+    ``n``-word shingles (words lower-cased A-Z; with fewer words the whole sequence is
+    one shingle).  Columns: doc_id, n_shingles, component_id (the smallest doc_id that
+    links lead to, the document's own included).
+
+    1. Documents with equal sets form a class; classes take part once.
+    2. A set's shingles are dealt by hash into one part more than linked sets of its size
+       band may differ in, and each part is summed up by exclusive or: linked sets agree
+       in a part.  Classes meet where a part's parity is equal.
+    3. There, pairs pass whose sizes and whole parity sketches allow a link, and are then
+       verified on the sets themselves.  First all classes of a part are held against one
+       of them, in STAR_ROUNDS rounds with another one each; components are formed, and
+       only classes of a part that are still in different components are paired.  So
+       groups of copies cost their size, not its square, and no link between components
+       is lost.
+
+    Null or empty texts and texts without words have no shingles, link with nothing and
+    are their own component.  A null doc_id takes part, but is never a component's id
+    while another id is there.  Repeated rows are one class.  Other columns are ignored.
+    """
+    rows, ids = near_groups(docs, n, num, den)
+    return rows.join(ids, "label", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs``, of each component only the document with the smallest id.
+
+    A null id comes after all others; of rows that agree in id and text one stays.
+    Documents without words link with nothing, so all of them stay.
+    """
+    rows, _ = near_groups(docs, n, num, den)
+    grouped = stored(rows.where("label is not null").select("doc_id", "place", "row", "label"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "place", "row")
+    best = grouped.groupBy("label").agg(F.min(order).alias("best"))
+    judged = stored(grouped.join(best, "label").select(
+        "place", (F.col("row") == F.col("best.row")).alias("stays")
+    ))
+    copies = judged.groupBy("place").agg(
+        F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n")
+    ).where("not stays or n > 1")
+    return without_places(docs, stored(copies))

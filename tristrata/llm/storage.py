@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 #: Rows handed to Python at a time; long texts make larger batches costly.
 BATCH_ROWS = 512
 
+#: Bits of the filter for rows that are looked for.
+FILTER_BITS = 1 << 22
+
 _OWN: dict[str, str] = {}
 
 
@@ -42,3 +45,64 @@ def small_batches(spark: SparkSession) -> None:
 
 def text_of(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def place_of():
+    """Finds a document's row again, or one that equals it in id and text."""
+    return F.xxhash64("doc_id", text_of())
+
+
+def _bitmap(places: DataFrame) -> DataFrame:
+    """One row: a bit for each ``place``.  Its size is fixed (512 KB)."""
+    slot = f"pmod(xxhash64(place), {FILTER_BITS})"
+    longs = places.groupBy(F.expr(f"{slot} div 64").alias("id")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast({slot} % 64 as int))")).alias("bits")
+    )
+    every = places.sparkSession.range(FILTER_BITS // 64)
+    filled = every.join(longs, "id", "left").select("id", F.coalesce("bits", F.lit(0)).alias("b"))
+    ordered = F.sort_array(F.collect_list(F.struct("id", "b")))
+    return filled.agg(ordered.alias("o")).select(F.transform("o", lambda x: x["b"]).alias("bits"))
+
+
+def _marked(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``docs`` with ``place`` and ``_maybe``: false if it is surely not in ``places``."""
+    slot = f"pmod(xxhash64(place), {FILTER_BITS})"
+    bit = f"shiftright(_bits[cast({slot} div 64 as int)], cast({slot} % 64 as int)) & 1 = 1"
+    return (
+        docs.withColumn("place", place_of())
+        .withColumn("_bits", _bitmap(places.select("place")).scalar())
+        .withColumn("_maybe", F.expr(bit))
+        .drop("_bits")
+    )
+
+
+def maybe_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``docs`` with ``place``, without most rows that are not in ``places``.
+
+    A join on ``place`` is to follow.  What it has to shuffle is cut by a bitmap of
+    fixed size; with very many places the bitmap lets more through, never fewer.
+    """
+    return _marked(docs, places).where("_maybe").drop("_maybe")
+
+
+def without_places(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``docs`` without the rows at ``places``; where ``stays`` holds there, one is kept.
+
+    Rows that surely are elsewhere pass without a shuffle.  ``places`` (a written table)
+    has each place once.
+    """
+    taken = docs.columns
+    # The columns as one value, so that no name can clash.
+    row = docs.select("doc_id", "text", F.struct(*[F.col(c) for c in taken]).alias("_row"))
+    marked = _marked(row, places)
+    back = [F.col("_row")[c].alias(c) for c in taken]
+    kept = [marked.where("not _maybe").select(*back)]
+    left = marked.where("_maybe").select("place", "_row")
+    kept.append(left.join(places, "place", "left_anti").select(*back))
+    if "stays" in places.columns:
+        one = left.join(places.where("stays").select("place"), "place", "left_semi")
+        kept.append(one.groupBy("place").agg(F.first("_row").alias("_row")).select(*back))
+    out = kept[0]
+    for more in kept[1:]:
+        out = out.union(more)
+    return out

@@ -33,6 +33,8 @@ _ALLOW = (
     "news daily journal library museum school university science nature garden kitchen "
     "recipes travel maps weather sports football music film theatre history archive docs "
     "wiki forum open-source python code data health clinic city council times post review "
+    "begin within cabin basin latin origin thin thing things nothing evening morning berlin "
+    "dublin turin thinking winter window wing swing bring string spring training planet market "
     "theonthe anderent tionesh thereat ouenre dertion einlich schauer leaire ciondo "
     "therenth ththan ereaing shonthe edesti nderhe tionand inghat"
 )
