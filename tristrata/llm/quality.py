@@ -7,8 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tristrata.llm.storage import small_batches, text_of
 from tristrata.llm.words import Words, mix
@@ -218,19 +220,35 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Factori
     return fit(x, y)
 
 
-def score(docs: DataFrame, model: FactorisationMachine, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with ``score``: 0 to 1, higher for better text."""
+def score(docs: DataFrame, model: FactorisationMachine) -> DataFrame:
+    """``docs`` with ``score``: 0 to 1, higher for better text."""
     small_batches(docs.sparkSession)
-    taken = docs.select(*keep, *[c.alias(f"_{n}") for c, n in zip(_inputs(docs), ("t", "n"))])
+    taken = docs.select(*docs.columns, *[c.alias(f"_{n}") for c, n in zip(
+        _inputs(docs)[1:], ("n",), strict=True)])
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, n_chars = batch.pop("_t"), batch.pop("_n").to_numpy(float)
-            logit = model.logits(*features(list(texts), n_chars), len(batch))
-            yield batch.assign(score=1 / (1 + np.exp(-np.clip(logit, -30, 30))))
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            n_chars = batch.column(batch.num_columns - 1).to_pandas().to_numpy(float)
+            logit = model.logits(*features(texts, n_chars), len(texts))
+            chance = pa.array(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
+            columns = [*batch.columns[:-1], chance]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "score"])
 
-    schema = docs.select(*keep).withColumn("score", F.lit(0.0)).schema
-    return taken.mapInPandas(scored, schema)
+    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
+    return taken.mapInArrow(scored, schema)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
+    """``docs`` without those whose score is under a half; columns as they were."""
+    model = train(docs, labels, most)
+    inner = docs.select(
+        "text",
+        *(["n_chars"] if "n_chars" in docs.columns else []),
+        F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("_rest"),
+    )
+    kept = score(inner, model).where("score >= 0.5")
+    return kept.select(*[F.col(c) if c == "text" else F.col("_rest")[c].alias(c) for c in docs.columns])
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
@@ -242,7 +260,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -
     labels every score is 0.5 or the share of the one label there is.
     """
     model = train(docs, labels, most)
-    scored = score(docs.withColumn("held_out", is_held_out()), model, ["doc_id", "held_out"])
+    taken = [c for c in ("doc_id", "text", "n_chars") if c in docs.columns]
+    scored = score(docs.select(*taken).withColumn("held_out", is_held_out()), model)
     return scored.select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
