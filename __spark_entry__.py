@@ -28,6 +28,15 @@ from tristrata.plans import gold, rules, views  # noqa: E402
 from tristrata.plans.silver import silver  # noqa: E402
 from tristrata.sources.ndjson import MALFORMED, parse_json, readable  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from tristrata.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # Only the removed modules themselves may be missing, not what they need.
+    if missing.name not in ("corpus_pipeline", "tristrata.llm", "tristrata.llm.queries"):
+        raise
+    llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -370,8 +379,20 @@ def queries() -> dict[str, Query]:
         "quality_score": quality_score,
         "rule_catalog": rule_catalog,
         "run_report": run_report,
+        **_training_data_queries(),
     }
 
 
+def _training_data_queries() -> dict[str, Query]:
+    if llm_queries is None:
+        return {}
+    return {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    if llm_queries is not None:
+        found |= llm_queries.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
