@@ -54,9 +54,9 @@ def op7_merkle_fixity(spark, sf_dir):
     pages = _given(spark, sf_dir, "pages")
     ours = fixity.digests(fixity.warc_records(pages))
     altered = F.when(
-        F.col("page_id") % 500 == 7, F.concat(F.lit("#"), F.substring("html", 2, 1 << 30))
+        F.col("page_id") % 50 == 7, F.concat(F.lit("#"), F.substring("html", 2, 1 << 30))
     ).otherwise(F.col("html"))
-    damaged = pages.where("page_id % 1000 <> 501").withColumn("html", altered)
+    damaged = pages.where("page_id % 100 <> 61").withColumn("html", altered)
     theirs = fixity.digests(fixity.warc_records(damaged))
     return fixity.audit(fixity.manifest(ours), fixity.manifest(theirs))
 
@@ -96,15 +96,12 @@ WITH ours AS (
     + strlen('>..WARC-Target-URI: ') + strlen(url)
     + strlen('..Content-Type: text/html..Content-Length: ')
     + strlen(strlen(html)::VARCHAR) + 8 + strlen(html) AS length,
-    page_id % 1000 = 501 AS lost,
-    page_id % 500 = 7 AND html NOT LIKE '#%' AS hurt,
-    CASE WHEN page_id % 500 = 7 THEN
+    page_id % 100 = 61 AS lost,
+    page_id % 50 = 7 AND html NOT LIKE '#%' AS hurt,
+    CASE WHEN page_id % 50 = 7 THEN
       strlen('#' || substr(html, 2)) - strlen(html) ELSE 0 END AS grown
   FROM pages),
-theirs AS (
-  SELECT *, length + grown
-    + strlen((strlen(html_length)::VARCHAR)) * 0 AS their_length
-  FROM (SELECT *, '' AS html_length FROM ours)),
+theirs AS (SELECT *, length + grown AS their_length FROM ours),
 placed AS (
   SELECT *,
     coalesce(sum(length) OVER (PARTITION BY archive ORDER BY page_id
@@ -124,11 +121,11 @@ _NEAR = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 shingles AS (
   SELECT DISTINCT doc_id, unnest(CASE
-    WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
   FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
