@@ -21,7 +21,7 @@ from tristrata.functions.measures import total  # noqa: E402
 from tristrata.operators import conform  # noqa: E402
 from tristrata.operators.columns import normalize_names  # noqa: E402
 from tristrata.operators.dedupe import duplicate_keys, keep_first  # noqa: E402
-from tristrata.operators.joining import absent, join_summary  # noqa: E402
+from tristrata.operators.joining import insert_if_absent, join_summary, unique_rows  # noqa: E402
 from tristrata.operators.sampling import capped_sample  # noqa: E402
 from tristrata.operators.stamps import stamp_ingested  # noqa: E402
 from tristrata.plans import gold, rules, views  # noqa: E402
@@ -50,8 +50,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def bronze_provenance(spark, sf_dir):
-    customers = given(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return stamp_ingested(customers, "customer.parquet").drop("ingestion_timestamp")
+    return stamp_ingested(given(spark, sf_dir, "customer")).drop("ingestion_timestamp")
 
 
 def _raw_events(spark, sf_dir):
@@ -181,7 +180,10 @@ def left_join_unmatched(spark, sf_dir):
 
 
 def sanitize_null_tokens(spark, sf_dir):
-    kind = sanitize.drop_null_tokens("event_type", ("error", "view", ""))
+    named = F.when(F.col("event_type") == "error", "nan").when(
+        F.col("event_type") == "view", "None"
+    )
+    kind = sanitize.drop_null_tokens(F.coalesce(named, F.col("event_type")))
     return given(spark, sf_dir, "events").select("event_id", kind.alias("event_type"))
 
 
@@ -267,6 +269,22 @@ def unique_key_keep_first(spark, sf_dir):
     return first.select(*LINE_KEY, "l_partkey")
 
 
+def unique_rows_loaded(spark, sf_dir):
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+    lines = given(spark, sf_dir, "lineitem").select(*LINE_KEY, *order)
+    return unique_rows(lines, duplicate_keys(lines, LINE_KEY), LINE_KEY, order)
+
+
+def contract_dates(spark, sf_dir):
+    """Bad text in a date or timestamp column loads as null."""
+    contract = table("order", "o_orderkey bigint\nday date\nmoment timestamp_ntz")
+    text = F.when(F.col("o_orderstatus") == "P", "bad").otherwise(stamp_text(F.col("o_orderdate")))
+    orders = given(spark, sf_dir, "orders").select(
+        "o_orderkey", text.alias("day"), text.alias("moment")
+    )
+    return conform.passed(conform.judged(orders, contract), contract)
+
+
 def duplicate_key_report(spark, sf_dir):
     return duplicate_keys(given(spark, sf_dir, "lineitem"), LINE_KEY)
 
@@ -281,9 +299,10 @@ def query_insert_if_absent(spark, sf_dir):
     is_stored = F.col("o_orderstatus") == "F"
     stored = orders.where(is_stored).select("o_custkey")
     incoming = orders.where(~is_stored).select("o_custkey")
-    new = absent(stored, incoming, ["o_custkey"])
-    return stored.withColumn("origin", F.lit("stored")).unionByName(
-        new.withColumn("origin", F.lit("new"))
+    return insert_if_absent(
+        stored.withColumn("origin", F.lit("stored")),
+        incoming.withColumn("origin", F.lit("new")),
+        ["o_custkey"],
     )
 
 
@@ -321,6 +340,9 @@ def threshold_checks(spark, sf_dir):
     broken = (
         rules.Threshold("Missing table", "not_there", at_least=1),
         rules.Threshold("Missing column", "city_summary", "mayor IS NULL", at_most=0),
+        rules.Threshold(
+            "Fails on values", "reviews", "CAST(concat('abc', review_id) AS INT) > 5", at_most=0
+        ),
     )
     return rules.check_thresholds(
         spark, _delivered(spark, sf_dir), rules.THRESHOLDS + broken
@@ -368,6 +390,8 @@ def queries() -> dict[str, Query]:
         "contract_cast_decimal": contract_cast_decimal,
         "contract_quarantine": contract_quarantine,
         "unique_key_keep_first": unique_key_keep_first,
+        "unique_rows_loaded": unique_rows_loaded,
+        "contract_dates": contract_dates,
         "duplicate_key_report": duplicate_key_report,
         "sample_capped": sample_capped,
         "insert_if_absent": query_insert_if_absent,

@@ -147,6 +147,7 @@ _THRESHOLDS = f"""
         count(*) <= 0 FROM ({GOLD_BUSINESS}) WHERE avg_stars < 1 OR avg_stars > 5
     UNION ALL SELECT 'Missing table', 'not_there', CAST(NULL AS BIGINT), '>=', 1, false
     UNION ALL SELECT 'Missing column', 'city_summary', CAST(NULL AS BIGINT), '<=', 0, false
+    UNION ALL SELECT 'Fails on values', 'reviews', CAST(NULL AS BIGINT), '<=', 0, false
 """
 
 
@@ -220,8 +221,7 @@ _ACCEPTED_LINES = f"""
 ORACLES = {
     # sources and provenance
     "bronze_provenance": """
-        SELECT c_custkey, c_name, 'customer.parquet' AS source_file,
-            'bronze' AS data_layer FROM customer
+        SELECT *, 'customer.parquet' AS source_file, 'bronze' AS data_layer FROM customer
     """,
     "json_schema_read": _JSON_EVENTS,
     "json_readable_rows": f"""
@@ -300,6 +300,18 @@ ORACLES = {
                 ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity) rn
             FROM lineitem) WHERE rn = 1
     """,
+    "unique_rows_loaded": """
+        SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice,
+            l_quantity FROM (
+            SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity) rn
+            FROM lineitem) WHERE rn = 1
+    """,
+    "contract_dates": """
+        SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate::DATE END AS day,
+            CASE WHEN o_orderstatus <> 'P' THEN date_trunc('second', o_orderdate) END AS moment
+        FROM orders
+    """,
     "duplicate_key_report": """
         SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tristrata import jobs
-from tristrata.contracts import DATASETS, RAW_SCHEMAS, WAREHOUSE, raw_files
+from tristrata.contracts import DATASETS, RAW_SCHEMAS, WAREHOUSE, raw_files, table
 from tristrata.plans import rules
 from tristrata.sinks.jdbc import jdbc_options
+from tristrata.sinks.tables import overwrite
 from tristrata.sources.ndjson import (
     MALFORMED,
     audit_source,
@@ -160,9 +161,19 @@ def test_silver_and_gold_counts(layers):
 def test_every_row_is_accounted_for(spark, layers):
     root, to, done = layers
     loaded = counts(done["delivery"])
-    assert loaded["business_analytics"] == {"rows": 11, "quarantined": 1, "duplicate": 1}
-    assert loaded["business_details"] == {"rows": 11, "quarantined": 1, "duplicate": 1}
-    assert loaded["reviews"] == {"rows": 20, "quarantined": 0, "duplicate": 0}
+    assert loaded["business_analytics"] == {
+        "rows": 11,
+        "quarantined": 1,
+        "duplicate": 1,
+        "unparsable": 0,
+    }
+    assert loaded["business_details"] == {
+        "rows": 11,
+        "quarantined": 1,
+        "duplicate": 1,
+        "unparsable": 0,
+    }
+    assert loaded["reviews"]["rows"] == 20
     for name, contract in WAREHOUSE.items():
         df = spark.read.parquet(to.table(name))
         assert df.columns == contract.column_names + list(contract.stamps)
@@ -241,6 +252,70 @@ def test_reload_replaces(spark, layers, caplog):
     assert again["rows"] == spark.read.parquet(to.table("city_summary")).count() == 2
 
 
+def test_a_failing_or_empty_refresh_keeps_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(10)
+    assert overwrite(rows, path)["rows"] == 10
+    bad = spark.range(5).select(F.expr("raise_error('lost')").cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        overwrite(bad, path)
+    assert spark.read.parquet(path).count() == 10
+    assert overwrite(rows.limit(0), path, keep_if_empty=True) == {"rows": 0, "kept": 1}
+    assert spark.read.parquet(path).count() == 10
+    assert overwrite(spark.read.parquet(path).limit(3), path)["rows"] == 3
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_nothing_sound_keeps_the_warehouse_table(spark, layers, tmp_path, monkeypatch):
+    root = layers[0]
+    sent = []
+    monkeypatch.setattr(jobs, "load_jdbc", lambda df, options: sent.append(options["dbtable"]))
+    to = jobs.Delivery(str(tmp_path / "w"))
+    cities = spark.read.parquet(f"{root}/gold/city_summary")
+    contract = WAREHOUSE["city_summary"]
+    before = jobs.load_table(spark, cities, contract, to)["rows"]
+    unsound = cities.withColumn("state", F.lit("far too long a state"))
+    for source in (cities.limit(0), unsound):
+        assert jobs.load_table(spark, source, contract, to)["rows"] == 0
+        assert spark.read.parquet(to.table("city_summary")).count() == before
+    none = str(tmp_path / "none")
+    jobs.deliver(spark, none, none, to, "run", jdbc_url="jdbc:x")
+    assert sent == []
+
+
+def test_all_reviews_are_delivered_unless_a_number_is_asked_for(spark, layers, tmp_path):
+    one = spark.read.parquet(f"{layers[0]}/silver/review").limit(1)
+    many = one.drop("review_id").crossJoin(
+        spark.range(1500).select(F.col("id").cast("string").alias("review_id"))
+    )
+    many.write.parquet(str(tmp_path / "s" / "review"))
+    for asked, loaded in ((None, 1500), (1200, 1200)):
+        to = jobs.Delivery(str(tmp_path / f"w{asked}"))
+        silver, gold = str(tmp_path / "s"), str(tmp_path / "g")
+        jobs.deliver(spark, silver, gold, to, "run", sample_rows=asked)
+        assert spark.read.parquet(to.table("reviews")).count() == loaded
+
+
+def test_unreadable_dates_become_null_and_are_counted(spark, tmp_path):
+    contract = table("t", "id bigint\nday date\nn int", key=("id",), stamps=())
+    rows = spark.createDataFrame(
+        [(1, "bad", 1.9), (2, "2020-01-02", None)], "id bigint, day string, n double"
+    )
+    to = jobs.Delivery(str(tmp_path))
+    counts = jobs.load_table(spark, rows, contract, to)
+    assert counts == {"rows": 2, "quarantined": 0, "duplicate": 0, "unparsable": 1}
+    found = {r.id: (str(r.day), r.n) for r in spark.read.parquet(to.table("t")).collect()}
+    assert found == {1: ("None", 2), 2: ("2020-01-02", None)}
+
+
+def test_the_catalog_grows_by_new_rules_only(spark, tmp_path):
+    to = jobs.Delivery(str(tmp_path))
+    for _ in range(3):
+        jobs.seed_catalog(spark, to)
+    assert len(list((tmp_path / "rule_catalog").glob("*.parquet"))) == 1
+
+
 def test_missing_source_stops_before_writing(spark, tmp_path):
     write_lines(tmp_path / "in" / "tip.json", RAW["tip"])
     sources = raw_files(str(tmp_path / "in"))
@@ -330,6 +405,9 @@ def test_jdbc_options():
     options = jdbc_options("jdbc:x", "reviews", batch_rows=1000, user="u")
     assert options["truncate"] == "true" and options["batchsize"] == "1000"
     assert (options["dbtable"], options["user"]) == ("reviews", "u")
+    cities = WAREHOUSE["city_summary"]
+    assert "city varchar(100), state varchar(10)" in cities.database_types
+    assert cities.key_statement == "ALTER TABLE city_summary ADD UNIQUE (city, state)"
 
 
 def test_jdbc_load_reads_the_written_table(spark, layers, tmp_path, monkeypatch):

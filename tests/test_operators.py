@@ -5,11 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tristrata.contracts import table
+from tristrata.functions.measures import exact_mean
 from tristrata.operators import conform
 from tristrata.operators.columns import normalize_names, unloadable
 from tristrata.operators.dedupe import duplicate_keys, keep_first
 from tristrata.operators.joining import absent, insert_if_absent
-from tristrata.operators.sampling import bernoulli_sample, capped_sample
+from tristrata.operators.sampling import capped_sample
 from tristrata.plans import gold, rules, views
 
 
@@ -136,12 +137,6 @@ def test_sample_with_one_hot_key(spark):
     assert capped_sample(df, 250, ["id"]).count() == 250
 
 
-def test_bernoulli(spark):
-    df = numbered(spark, 1000)
-    assert bernoulli_sample(df, 2000, 1000) is df
-    assert 0 < bernoulli_sample(df, 100, 1000).count() <= 100
-
-
 # --- gold ---------------------------------------------------------------------
 
 REVIEW = "review_id string, user_id string, business_id string, stars double, useful int, " \
@@ -281,6 +276,38 @@ def test_rules_fail_without_stopping(spark):
     )
 
 
+def test_one_rule_that_fails_as_it_runs_fails_alone(spark):
+    rows = spark.createDataFrame([("abc",), ("7",)], "b string")
+    checks = rules.check_thresholds(
+        spark,
+        {"t": rows},
+        (
+            rules.Threshold("bad", "t", "CAST(b AS INT) > 5", at_most=9),
+            rules.Threshold("good", "t", at_least=2),
+        ),
+    )
+    found = {r.check_name: (r.actual, r.passed) for r in checks.collect()}
+    assert found == {"bad": (None, False), "good": (2, True)}
+    rows.createOrReplaceTempView("rows_of_text")
+    out = rules.run_catalog(
+        spark,
+        (
+            ("bad", "t", "SELECT count_if(CAST(b AS INT) > 5) FROM rows_of_text", "0"),
+            ("two rows", "t", "SELECT 1 FROM rows_of_text", "1"),
+            ("good", "t", "SELECT count(*) FROM rows_of_text", "2"),
+        ),
+    )
+    assert [r.status for r in out.collect()] == ["error", "error", "passed"]
+    assert rules.check_thresholds(spark, {}, ()).count() == 0
+    assert rules.run_catalog(spark, ()).count() == 0
+    assert rules.row_counts({}).count() == 0
+
+
+def test_exact_mean_of_large_values(spark):
+    rows = spark.createDataFrame([(2e10,), (4e10,)], "x double")
+    assert rows.agg(exact_mean("x")).first()[0] == 3e10
+
+
 def test_score_over_nothing_is_null(spark):
     none = spark.createDataFrame([], "passed boolean")
     row = rules.score(none).first()

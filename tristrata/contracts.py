@@ -69,6 +69,22 @@ class TableContract:
     def identity(self) -> tuple[str, ...]:
         return self.key or self.unique
 
+    @property
+    def database_types(self) -> str:
+        """Lengths and precisions of the columns, for a database that creates the table."""
+        shown = {"string": "text", "bigint": "bigint", "timestamp_ntz": "timestamp"}
+        return ", ".join(
+            f"{c.name} varchar({c.max_len})" if c.max_len else f"{c.name} {c.type}"
+            for c in self.columns
+            if c.max_len or c.type not in shown
+        )
+
+    @property
+    def key_statement(self) -> str:
+        """DDL that a caller may run once the table is there."""
+        kind = "PRIMARY KEY" if self.key else "UNIQUE"
+        return f"ALTER TABLE {self.name} ADD {kind} ({', '.join(self.identity)})"
+
     @property
     def column_names(self) -> list[str]:
         return [c.name for c in self.columns]

@@ -31,8 +31,10 @@ def exact_mean(value: str | Column, scale: int = 9) -> Column:
     fractions; whole and half numbers are already safe under ``avg``.
     """
     value = F.col(value) if isinstance(value, str) else value
-    units = F.floor(value.cast("double") * F.lit(float(10**scale)) + F.lit(0.5))
-    added = F.sum(units.cast("decimal(20,0)")).cast("double")
+    # Decimals hold what a bigint cannot; a value beyond them is null or an error, by
+    # the session's ANSI mode, and never another number.
+    units = (value.cast("double") * F.lit(float(10**scale))).cast("decimal(28,0)")
+    added = F.sum(units).cast("double")
     return F.try_divide(F.try_divide(added, F.count(value)), F.lit(float(10**scale)))
 
 

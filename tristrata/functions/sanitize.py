@@ -35,5 +35,10 @@ def to_naive_timestamp(value: str | Column) -> Column:
     return _column(value).try_cast("timestamp_ntz")
 
 
+def to_day(value: str | Column) -> Column:
+    """A date, null where the value cannot be read as one."""
+    return _column(value).try_cast("date")
+
+
 def _column(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from decimal import Decimal
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tristrata.contracts import (
@@ -28,8 +28,8 @@ from tristrata.contracts import (
 from tristrata.functions.measures import share
 from tristrata.operators import conform
 from tristrata.operators.columns import normalize_names, unloadable
-from tristrata.operators.dedupe import duplicate_keys, keep_first
-from tristrata.operators.joining import absent
+from tristrata.operators.dedupe import duplicate_keys
+from tristrata.operators.joining import absent, unique_rows
 from tristrata.operators.sampling import capped_sample
 from tristrata.operators.stamps import stamp_ingested, stamp_loaded
 from tristrata.plans import gold as gold_plans
@@ -43,8 +43,7 @@ log = logging.getLogger(__name__)
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
-# Reviews delivered by the standard job, and the order of the loads.
-REVIEW_SAMPLE = 1000
+# The order of the loads.
 LOAD_ORDER = (
     "business_analytics",
     "business_details",
@@ -127,7 +126,7 @@ def build_bronze(
         bad = F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed")
         kept = readable(raw.observe(seen, bad))
         named = stamp_ingested(kept, (source_names or {}).get(dataset))
-        counts = {**overwrite(named, f"{bronze}/{dataset}"), **seen.get}
+        counts = {**_refreshed(named, f"{bronze}/{dataset}"), **seen.get}
         lines = malformed(raw)
         # The file is read again only if the first pass found such lines.
         overwrite(lines if counts["malformed"] else lines.limit(0), f"{rejects}/{dataset}")
@@ -144,7 +143,7 @@ def build_silver(
 ) -> list[Outcome]:
     def refine(dataset: str) -> dict:
         cleaned = silver(dataset, spark.read.parquet(f"{bronze}/{dataset}"))
-        return overwrite(cleaned, f"{silver_root}/{dataset}")
+        return _refreshed(cleaned, f"{silver_root}/{dataset}")
 
     return [_attempt("silver", d, lambda d=d: refine(d)) for d in datasets]
 
@@ -171,11 +170,19 @@ def build_gold(spark: SparkSession, silver_root: str, gold: str) -> list[Outcome
         if stale:
             plan = _raising("business_analytics was not rebuilt")
         outcomes.append(
-            _attempt("gold", name, lambda n=name, p=plan: overwrite(p(), f"{gold}/{n}"))
+            _attempt("gold", name, lambda n=name, p=plan: _refreshed(p(), f"{gold}/{n}"))
         )
     return outcomes
 
 
+def _refreshed(rows: DataFrame, path: str) -> dict:
+    """Overwrite; a refresh without rows fails, and the table that was there stays."""
+    counts = overwrite(rows, path, keep_if_empty=True)
+    if counts.pop("kept"):
+        raise RuntimeError("no rows: the table written before stays")
+    return counts
+
+
 def _raising(message: str) -> Callable[[], DataFrame]:
     def fail() -> DataFrame:
         raise RuntimeError(message)
@@ -222,33 +229,40 @@ def load_table(
 ) -> dict[str, int]:
     """Contract, quarantine, unique keys, full refresh: ``source`` to a table.
 
-    ``source`` is read up to three times and should be a written table.
-    Every input row ends up in one of ``rows``, ``quarantined`` or ``duplicate``.
-    Keys held twice are found on the keys alone and written as a report first.
-    Only rows with a reported key are ranked against each other, so a table whose
-    keys are unique is loaded without shuffling its rows.
+    ``source`` is read once: each row is judged and written with its reasons, and what
+    follows starts from there.  Every input row ends up in one of ``rows``,
+    ``quarantined`` or ``duplicate``; ``unparsable`` counts dates and timestamps that
+    became null.  Keys held twice are found on the keys alone and written as a report
+    first.  Only rows with a reported key are ranked against each other, so a table
+    whose keys are unique is loaded without shuffling its rows.  Where nothing would be
+    loaded, the table keeps the rows it had.
     """
     name, key = contract.name, list(contract.identity)
     named = normalize_names(source)
     for column, reason in unloadable(named, contract).items():
         log.warning("%s: column %s is not loaded: %s", name, column, reason)
     prepared = conform.loadable(named, contract)
-    held = overwrite(conform.quarantined(prepared, contract), to.quarantine(name))
-    sound = conform.accepted(prepared, contract)
+    counts = {
+        "held": F.count_if(F.col(conform.REASONS).isNotNull()),
+        "unparsable": F.coalesce(F.sum(conform.UNPARSABLE), F.lit(0)),
+    }
+    seen = overwrite(conform.judged(prepared, contract), to.staged(name), counts)
+    staged = spark.read.parquet(to.staged(name))
+    overwrite(conform.held_back(staged), to.quarantine(name))
+    sound = conform.passed(staged, contract)
 
     surplus = {"surplus": F.coalesce(F.sum(F.col("n") - 1), F.lit(0))}
     clashes = overwrite(duplicate_keys(sound, key), to.duplicates(name), surplus)
     if clashes["rows"]:
         repeated = spark.read.parquet(to.duplicates(name)).select(*key)
-        single = sound.join(repeated, key, "left_anti")
-        multiple = sound.join(repeated, key, "left_semi")
-        first = keep_first(multiple, key, order=contract.column_names, nulls=False)
-        sound = single.unionByName(first)
-    loaded = overwrite(stamp_loaded(sound, contract.stamps), to.table(name))
+        sound = unique_rows(sound, repeated, key, contract.column_names)
+    stamped = stamp_loaded(sound, contract.stamps)
+    loaded = overwrite(stamped, to.table(name), keep_if_empty=True)
     return {
         "rows": loaded["rows"],
-        "quarantined": held["rows"],
+        "quarantined": seen["held"],
         "duplicate": clashes["surplus"],
+        "unparsable": seen["unparsable"],
     }
 
 
@@ -258,36 +272,37 @@ def deliver(
     gold: str,
     to: Delivery,
     run_id: str,
-    sample_rows: int = REVIEW_SAMPLE,
+    sample_rows: int | None = None,
     jdbc_url: str | None = None,
     jdbc_extra: dict[str, str] | None = None,
 ) -> list[Outcome]:
     """Load the five warehouse tables, record metrics, register the views.
 
-    A table into which nothing was loaded counts as failed.
+    Every review is delivered, unless ``sample_rows`` asks for so many of them.  A table
+    into which nothing was loaded counts as failed, and keeps the rows it had.
     """
 
-    def sample() -> DataFrame:
-        # Loading reads its source more than once: draw the sample once.
+    def reviews() -> DataFrame:
         review = spark.read.parquet(f"{silver_root}/review")
-        drawn = capped_sample(review, sample_rows, ["review_id"], ties=review.columns)
-        overwrite(drawn, to.staged("reviews"))
-        return spark.read.parquet(to.staged("reviews"))
+        if sample_rows is None:
+            return review
+        return capped_sample(review, sample_rows, ["review_id"], ties=review.columns)
 
     sources = {
         "business_analytics": lambda: spark.read.parquet(f"{gold}/business_analytics"),
         "business_details": lambda: spark.read.parquet(f"{silver_root}/business"),
         "user_analytics": lambda: spark.read.parquet(f"{gold}/user_analytics"),
         "city_summary": lambda: spark.read.parquet(f"{gold}/city_summary"),
-        "reviews": sample,
+        "reviews": reviews,
     }
 
     def load(name: str) -> dict:
         counts = load_table(spark, sources[name](), WAREHOUSE[name], to)
-        if jdbc_url:
+        if jdbc_url and counts["rows"]:
             written = spark.read.parquet(to.table(name))
-            batch = WAREHOUSE[name].batch_rows
-            load_jdbc(written, jdbc_options(jdbc_url, name, batch, **(jdbc_extra or {})))
+            contract = WAREHOUSE[name]
+            more = {"createTableColumnTypes": contract.database_types, **(jdbc_extra or {})}
+            load_jdbc(written, jdbc_options(jdbc_url, name, contract.batch_rows, **more))
         return counts
 
     outcomes = [
@@ -321,10 +336,15 @@ def validate(spark: SparkSession, to: Delivery, gate: float = rules.COUNT_GATE)
 
 def seed_catalog(spark: SparkSession, to: Delivery, seeds=rules.CATALOG) -> DataFrame:
     """Add the rules whose name the stored catalog lacks, and return the catalog."""
-    spark.createDataFrame([], rules.CATALOG_COLUMNS).write.mode("append").parquet(to.catalog)
-    stored = spark.read.schema(rules.CATALOG_COLUMNS).parquet(to.catalog)
-    new = absent(stored, rules.catalog_rows(spark, seeds), ["check_name"])
-    new.coalesce(1).write.mode("append").parquet(to.catalog)
+    seeded = rules.catalog_rows(spark, seeds)
+    try:
+        stored = spark.read.schema(rules.CATALOG_COLUMNS).parquet(to.catalog)
+        seeded = absent(stored, seeded, ["check_name"])
+    except AnalysisException:
+        pass  # no catalog yet
+    new = [tuple(rule) for rule in seeded.collect()]
+    if new:
+        append_rows(spark, to.catalog, new, rules.CATALOG_COLUMNS)
     return spark.read.schema(rules.CATALOG_COLUMNS).parquet(to.catalog)
 
 
@@ -385,6 +405,7 @@ def record_execution(
 
 def run_report(entries: DataFrame) -> DataFrame:
     """Count and share of each status; no rows, over an empty log, is no error."""
-    total = entries.agg(F.count(F.lit(1))).scalar()
     per_status = entries.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-    return per_status.withColumn("percent", share(F.col("n"), total))
+    # One row per status: their counts add up to the total without a second scan.
+    every = F.sum("n").over(Window.partitionBy(F.lit(1)))
+    return per_status.withColumn("percent", share(F.col("n"), every))

@@ -11,6 +11,9 @@ from tristrata.functions import sanitize
 from tristrata.operators.columns import unloadable
 
 
+REASONS, UNPARSABLE = "reasons", "unparsable"
+
+
 def violations(df: DataFrame, contract: TableContract) -> list[Column]:
     """One expression per way a row can fail: its reason, or null."""
     return [
@@ -33,6 +36,34 @@ def quarantined(df: DataFrame, contract: TableContract) -> DataFrame:
     return unsound.withColumn("reasons", F.concat_ws(",", *found))
 
 
+def judged(df: DataFrame, contract: TableContract) -> DataFrame:
+    """Every row as it came, with its ``reasons`` (null if sound) and ``unparsable``,
+    the number of its dates and timestamps that cannot be read and become null."""
+    found = violations(df, contract)
+    lost = [
+        F.when(_repaired(df, rule).isNotNull() & _typed(df, rule).isNull(), 1).otherwise(0)
+        for rule in contract.columns
+        if _is_moment(rule)
+    ]
+    return df.withColumns(
+        {
+            REASONS: F.nullif(F.concat_ws(",", *found), F.lit("")),
+            UNPARSABLE: sum(lost, F.lit(0)).cast("long"),
+        }
+    )
+
+
+def held_back(judged_rows: DataFrame) -> DataFrame:
+    """Of ``judged`` rows the unsound ones, with their reasons."""
+    return judged_rows.where(F.col(REASONS).isNotNull()).drop(UNPARSABLE)
+
+
+def passed(judged_rows: DataFrame, contract: TableContract) -> DataFrame:
+    """Of ``judged`` rows the sound ones, in the contract's columns and types."""
+    rows = judged_rows.where(F.col(REASONS).isNull()).drop(REASONS, UNPARSABLE)
+    return rows.select(*(_conformed(rows, r).alias(r.name) for r in contract.columns))
+
+
 def loadable(df: DataFrame, contract: TableContract) -> DataFrame:
     """Only columns the contract names and a table can hold."""
     return df.drop(*unloadable(df, contract))
@@ -56,6 +87,13 @@ def _typed(df: DataFrame, rule: ColumnRule) -> Column:
     wanted = T.DataType.fromDDL(rule.type)
     if isinstance(wanted, T.BooleanType) and have != wanted:
         return sanitize.to_boolean(value)
+    if isinstance(wanted, T.TimestampNTZType):
+        return sanitize.to_naive_timestamp(value)
+    if isinstance(wanted, T.DateType):
+        return sanitize.to_day(value)
+    if isinstance(wanted, T.IntegralType) and isinstance(have, (T.DoubleType, T.FloatType)):
+        # A fraction is rounded, as a relational integer column does.
+        return F.round(value).try_cast(wanted)
     if isinstance(wanted, T.DecimalType) and isinstance(have, T.NumericType):
         # Casting a number that is too large works by a caught exception, which
         # costs far more than a comparison.
@@ -64,6 +102,10 @@ def _typed(df: DataFrame, rule: ColumnRule) -> Column:
     return value.try_cast(wanted)
 
 
+def _is_moment(rule: ColumnRule) -> bool:
+    return rule.type in ("date", "timestamp", "timestamp_ntz")
+
+
 def _conformed(df: DataFrame, rule: ColumnRule) -> Column:
     value = _typed(df, rule)
     # Blanks beyond the length of a bounded text are cut, as SQL does.
@@ -76,7 +118,8 @@ def _problems(df: DataFrame, rule: ColumnRule, is_key: bool) -> list[Column]:
     # Any yes/no spelling that is not known is read as no value, so only other
     # types can fail to cast, and a cast to its own type cannot.
     have = df.schema[rule.name].dataType.simpleString() if rule.name in df.columns else None
-    if rule.type not in ("boolean", "string", have):
+    # A date that cannot be read is no value; that is no reason to refuse the row.
+    if rule.type not in ("boolean", "string", have) and not _is_moment(rule):
         found.append(F.when(before.isNotNull() & after.isNull(), f"bad_value:{rule.name}"))
     if rule.max_len:
         # Stand-ins for "no value" are short: where none can be too long, the

@@ -49,6 +49,20 @@ def absent(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFram
     return new.unionByName(incoming.where(~key_present(key)))
 
 
+def unique_rows(
+    rows: DataFrame, repeated: DataFrame, key: list[str], order: list[str]
+) -> DataFrame:
+    """``rows`` with one row for each of the ``repeated`` keys: the first by ``order``.
+
+    ``repeated`` has one row per key that is held more than once.  Other rows pass
+    unranked.  The joins are :func:`join_summary`, so a hot key is split in them, and
+    its rows are cut to one per task before the ranking's shuffle.
+    """
+    single = join_summary(rows, repeated.select(*key), key, "left_anti")
+    multiple = join_summary(rows, repeated.select(*key), key, "left_semi")
+    return single.unionByName(keep_first(multiple, key, order, nulls=False))
+
+
 def insert_if_absent(
     existing: DataFrame, incoming: DataFrame, key: list[str]
 ) -> DataFrame:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SEED = 42
-
 
 def capped_sample(
     df: DataFrame, size: int, key: list[str], ties: list[str] | None = None
@@ -28,13 +26,6 @@ def capped_sample(
     return candidates.orderBy(digest, *ties).limit(size)
 
 
-def bernoulli_sample(df: DataFrame, size: int, total: int, seed: int = SEED) -> DataFrame:
-    """At most ``size`` rows drawn row by row; which and how many depends on layout."""
-    if total <= size:
-        return df
-    return df.sample(False, size / total, seed).limit(size)
-
-
 def _bit_length(digest: Column) -> Column:
     """Significant bits of a hexadecimal digest, up to a constant."""
     digits = F.ltrim(digest, F.lit("0"))

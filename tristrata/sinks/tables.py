@@ -2,22 +2,75 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def overwrite(df: DataFrame, path: str, counts: dict[str, Column] | None = None) -> dict:
+def overwrite(
+    df: DataFrame,
+    path: str,
+    counts: dict[str, Column] | None = None,
+    keep_if_empty: bool = False,
+) -> dict:
     """Full refresh of a parquet table, counting in the same pass.
 
-    Returns ``rows`` (rows written) and any further ``counts``, which are taken
-    over the rows written.  Counted in the writing stage, where Spark takes each
-    task's count once even if the task had to run again.
+    The new rows are written beside the table and take its place only after the write
+    succeeded, so a failing refresh leaves the table as it was; so does one without
+    rows, if ``keep_if_empty``.  ``df`` may even be read from the table itself.
+
+    Returns ``rows`` (rows written), ``kept`` (1 if the old table stays) and any further
+    ``counts``, which are taken over the rows written.  Counted in the writing stage,
+    where Spark takes each task's count once even if the task had to run again.
     """
     seen = Observation()
     extra = [c.alias(name) for name, c in (counts or {}).items()]
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *extra)
-    counted.write.mode("overwrite").parquet(path)
-    return seen.get
+    fresh = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
+    try:
+        counted.write.parquet(fresh)
+        found = seen.get
+        kept = keep_if_empty and not found["rows"] and _exists(df.sparkSession, path)
+        if not kept:
+            _replace(df.sparkSession, path, fresh)
+    finally:
+        _delete(df.sparkSession, fresh)
+    return {**found, "kept": int(kept)}
+
+
+def _files(spark: SparkSession, path: str):
+    """The path's file system and the path, as Hadoop has them."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    system, place = _files(spark, path)
+    return system.exists(place)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    system, place = _files(spark, path)
+    if system.exists(place):
+        system.delete(place, True)
+
+
+def _replace(spark: SparkSession, path: str, fresh: str) -> None:
+    """``fresh`` becomes ``path``; the old table goes only once it is out of the way."""
+    system, place = _files(spark, path)
+    _, new = _files(spark, fresh)
+    _, old = _files(spark, f"{fresh}__old")
+    moved = system.exists(place)
+    if moved and not system.rename(place, old):
+        raise OSError(f"cannot move {path}")
+    if not system.rename(new, place):
+        if moved:
+            system.rename(old, place)
+        raise OSError(f"cannot move {fresh} to {path}")
+    if moved:
+        system.delete(old, True)
 
 
 def append_rows(spark: SparkSession, path: str, rows: list[tuple], schema: str) -> None:
