@@ -10,8 +10,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tristrata.llm.storage import maybe_at, place_of, small_batches, stored, text_of, without_places
+from tristrata.llm.storage import (
+    maybe_at,
+    place_of,
+    small_batches,
+    stored,
+    text_of,
+    without_places,
+)
 from tristrata.llm.words import Words, mix, shingle_sets
+from tristrata.operators.joining import join_summary
 
 #: Longs in a document's parity sketch.
 SKETCH_LONGS = 8
@@ -309,7 +317,8 @@ def near_components(
     while another id is there.  Repeated rows are one class.  Other columns are ignored.
     """
     rows, ids = near_groups(docs, n, num, den)
-    return rows.join(ids, "label", "left").select(
+    # A component may hold a third of the rows: the join can be split within a label.
+    return join_summary(rows, ids, ["label"]).select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
@@ -324,9 +333,11 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> D
     grouped = stored(rows.where("label is not null").select("doc_id", "place", "row", "label"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "place", "row")
     best = grouped.groupBy("label").agg(F.min(order).alias("best"))
-    judged = stored(grouped.join(best, "label").select(
-        "place", (F.col("row") == F.col("best.row")).alias("stays")
-    ))
+    judged = stored(
+        join_summary(grouped, best, ["label"], "inner").select(
+            "place", (F.col("row") == F.col("best.row")).alias("stays")
+        )
+    )
     copies = judged.groupBy("place").agg(
         F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n")
     ).where("not stays or n > 1")

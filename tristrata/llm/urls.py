@@ -45,10 +45,10 @@ _PATHS = ("/", "/en/12", "/de/7340.html", "/fr/88/", "/es/405", "/a/b-c")
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """The small table the filter is trained on: host, path, label (1: block)."""
-    words = spark.createDataFrame(
-        [(w, k, 1) for k, w in enumerate(_BLOCK.split())]
-        + [(w, k, 0) for k, w in enumerate(_ALLOW.split())],
-        "word string, k int, label int",
+    one = spark.range(1)
+    words = one.select(F.posexplode(F.split(F.lit(_BLOCK), " ")).alias("k", "word"), F.lit(1).alias("label"))
+    words = words.union(
+        one.select(F.posexplode(F.split(F.lit(_ALLOW), " ")).alias("k", "word"), F.lit(0).alias("label"))
     )
     pick = lambda of, step: F.element_at(
         F.array(*map(F.lit, of)), F.pmod(F.col("k") * step + F.col("r"), F.lit(len(of))) + 1
