@@ -199,7 +199,8 @@ def build_index(embeddings: DataFrame, nearest: int = NEAREST, shard_rows: int =
 
     schema = "dim int, shard int, entry int, vectors binary, ids binary, held binary"
     return stored(
-        dealt.repartition(shards, "dim", "shard")
+        # By range: a hash would put several shards into one task, and leave others idle.
+        dealt.repartitionByRange(shards, "dim", "shard")
         .groupBy("dim", "shard")
         .applyInPandas(made, schema + ", layers array<binary>")
     )
