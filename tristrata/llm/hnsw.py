@@ -17,6 +17,8 @@ from tristrata.llm.storage import stored
 #: breadth of the search while building and while searching.
 SHARD_ROWS = 6_000
 BLOCK_QUERIES = 2_000
+#: Most partitions of the search; beyond, a partition has several shards and blocks.
+SEARCH_PARTS = 20_000
 LINKS = 16
 BUILD_BREADTH = 40
 SEARCH_BREADTH = 160
@@ -250,8 +252,13 @@ def search(index: DataFrame, queries: DataFrame, nearest: int = NEAREST) -> Data
         )
 
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    # A number of its own: a shard is small in bytes but long in work, so partitions that
+    # are merged by size would leave one task all of it.  Four to a shard and block, as a
+    # hash puts few of them together then.
+    parts = min(max(1, 4 * blocks * index.count()), SEARCH_PARTS)
     return (
         index.join(grouped, "dim")
+        .repartition(parts, "dim", "shard", "block")
         .groupBy("dim", "shard", "block")
         .applyInPandas(found, "query_id long, vec_id long, score double")
         .withColumn("rank", rank)
