@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -68,20 +69,27 @@ def features(texts, n_chars) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rows, slots = cell // WORD_SLOTS, cell % WORD_SLOTS
     values = np.sqrt(times / some[rows])
 
-    kinds = _KIND[words.data]
-    sums = np.zeros((len(kinds) + 1, 4))
-    np.cumsum(kinds, axis=0, out=sums[1:])
-    own = np.diff(sums[words.offsets[: n + 1]], axis=0) if n else np.zeros((0, 4))
+    def running(marks: np.ndarray) -> np.ndarray:
+        """Marks before each byte; of one kind at a time, as long texts make these large."""
+        out = np.zeros(len(marks) + 1, "int32")
+        np.cumsum(marks, out=out[1:])
+        return out
+
+    def of(sums: np.ndarray) -> np.ndarray:
+        return np.diff(sums[words.offsets[: n + 1]]) if n else np.zeros(0)
+
+    def kind(k: int) -> np.ndarray:
+        return running(_KIND[:, k][words.data])
+
     size = np.maximum(np.diff(words.offsets[: n + 1]) - 1, 1).astype(float)
-    bars = np.concatenate(([0], np.cumsum(words.data == 124)))
-    breaks = np.concatenate(([0], np.cumsum(words.data == 10)))
-    of = lambda s: np.diff(s[words.offsets[: n + 1]]) if n else np.zeros(0)
+    capitals, smalls = ((s[words.end] - s[words.begin]) for s in (kind(0), kind(3)))
+    shares = [of(kind(k)) / size for k in range(3)]
+    bars, breaks = (of(running(words.data == sign)) for sign in (124, 10))
     length = (words.end - words.begin).astype(float)
     same = np.zeros(len(row_of))
     if len(row_of) > 1:
         same[1:] = (words.hashes[1:] == words.hashes[:-1]) & (row_of[1:] == row_of[:-1])
     last = words.data[np.maximum(words.end - 1, 0)] if len(row_of) else words.data[:0]
-    letters = sums[words.end] - sums[words.begin] if len(row_of) else np.zeros((0, 4))
     known = np.unique(
         np.stack([row_of.astype("uint64"), mix(words.hashes)], 1), axis=0
     )[:, 0].astype("int64") if len(row_of) else row_of
@@ -90,15 +98,15 @@ def features(texts, n_chars) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         [
             np.log1p(count) / 8,
             per_row(length) / some / 10,
-            own[:, 0] / size,
-            own[:, 1] / size,
-            own[:, 2] / size * 4,
-            np.sqrt(of(bars) / some),
-            np.sqrt(of(breaks) / some),
+            shares[0],
+            shares[1],
+            shares[2] * 4,
+            np.sqrt(bars / some),
+            np.sqrt(breaks / some),
             np.sqrt(per_row(same) / some),
             np.bincount(known, minlength=n) / some,
             np.sqrt(per_row(_KIND[last, 2]) / some),
-            np.sqrt(per_row((letters[:, 0] > 1) & (letters[:, 3] == 0)) / some),
+            np.sqrt(per_row((capitals > 1) & (smalls == 0)) / some),
             np.sqrt(per_row(length == 1) / some),
             np.sqrt(per_row(length > 24) / some),
             np.where(given, np.log1p(np.abs(np.where(given, n_chars, 0))), 0) / 10,
@@ -212,11 +220,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> FactorisationMachine:
-    sample = training_rows(docs, labels, most).collect()  # ``most`` rows
-    x, y = np.zeros((len(sample), N_FEATURES)), np.zeros(len(sample))
-    for k, row in enumerate(sample):
-        x[k, row["slots"]] = row["vals"]
-        y[k] = row["label"]
+    sample = training_rows(docs, labels, most).toArrow().combine_chunks()  # ``most`` rows
+    slots, vals = (sample[c].combine_chunks() for c in ("slots", "vals"))
+    row = np.repeat(np.arange(len(sample)), pc.list_value_length(slots).to_numpy(False))
+    x, y = np.zeros((len(sample), N_FEATURES)), sample["label"].to_numpy().astype(float)
+    x[row, slots.flatten().to_numpy()] = vals.flatten().to_numpy()
     return fit(x, y)
 
 

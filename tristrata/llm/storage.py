@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows handed to Python at a time; long texts make larger batches costly.
+#: Rows handed to Python at a time, and their bytes; a longer row goes alone.
 BATCH_ROWS = 512
+BATCH_BYTES = 1 << 20
 
 #: Bits of the filter for rows that are looked for.
 FILTER_BITS = 1 << 22
@@ -41,6 +42,7 @@ def stored(rows: DataFrame) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def text_of(name: str = "text"):

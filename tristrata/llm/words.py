@@ -7,7 +7,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Bytes that are hashed together.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
