@@ -90,6 +90,17 @@ def test_special_tokens_and_odd_spaces_are_read_as_the_tokenizer_does():
         assert encoder.encode(text) == encoder.whole(text)
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, " \n" * 700_000 + "end"])
+def test_long_white_space_is_packed(spark, text):
+    docs = spark.createDataFrame([(1, text), (2, "a word")], "doc_id long, text string")
+    rows = packing.packed_sequences(docs).where("doc_id = 1").orderBy("piece").collect()
+    ids = packing.Encoder(packing.tokenizer_path()).whole(text) + b"\x02\0\0\0"
+    assert sum(r.length for r in rows) == len(ids) // 4
+    for r in rows:
+        part = ids[4 * r.start : 4 * (r.start + r.length)]
+        assert r.ids_crc32 == zlib.crc32(part)
+
+
 def test_two_smaller_pieces_replace_one_where_they_fit_more_tightly():
     # 60 leaves 40: 30 fits, 10 stays empty; 22 + 18 fill 40 and replace 30.
     plan = packing.plan_sequences({60: 1, 30: 1, 22: 1, 18: 1}, 100)
@@ -364,6 +375,13 @@ def test_components_are_those_of_all_pairs(spark, docs, n, num):
     assert len(set(label)) <= len(rows) - 10  # there are links
 
 
+def test_step_tables_go(docs, tmp_path, monkeypatch):
+    monkeypatch.setattr("tristrata.llm.storage.shared_folder", lambda spark: str(tmp_path))
+    near.one_of_each(docs).count()
+    left = [p for p in tmp_path.rglob("*.parquet") if p.is_file()]
+    assert len({p.parent for p in left}) <= 1  # what the result still reads
+
+
 def test_one_of_each_component_stays(docs):
     kept = near.one_of_each(docs)
     groups = {r.doc_id: r.component_id for r in near.near_components(docs, 5, 80).collect()}

@@ -7,14 +7,15 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.llm.storage import (
+    Steps,
     maybe_at,
+    maybe_in,
     place_of,
     small_batches,
-    stored,
     text_of,
     without_places,
 )
@@ -25,6 +26,8 @@ from tristrata.operators.joining import join_summary
 SKETCH_LONGS = 8
 #: Rounds in which a part's documents are held against one of them, before the rest.
 STAR_ROUNDS = 2
+#: Bits of the filter for keys that several classes share (4 MB).
+KEY_BITS = 1 << 25
 
 _U = np.uint64
 
@@ -130,13 +133,16 @@ def _may_link(n: str, m: str, sketch: str, other: str, num: int, den: int):
     )
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, num: int, den: int):
+def _linked(
+    steps: Steps, pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, num: int, den: int
+) -> DataFrame:
     """The pairs (u, v) whose shingle sets, made again from the texts, do link.
 
-    Only texts that are in a pair are wanted, and few others reach the shuffle.
+    Only texts that are in a pair are wanted, and few others reach the shuffle.  Sets
+    grow with the texts, so they are never broadcast (``merge``).
     """
     ends = pairs.select(F.explode(F.array("u", "v")).alias("row")).distinct()
-    wanted = stored(rows.select("row", "place").join(ends, "row"))
+    wanted = steps.store(rows.select("row", "place").join(ends, "row"))
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -145,11 +151,12 @@ def _linked(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, num: int
                 {"row": batch["row"], "shingles": [s.astype("int64") for s in sets]}
             )
 
-    texts = maybe_at(docs, wanted).select("place", text_of().alias("text")).join(wanted, "place")
-    sets = stored(
-        texts.select("row", "text")
+    # Rows that agree in id and text share a place: one of them is enough.
+    texts = maybe_at(docs, wanted).groupBy("place").agg(F.first(text_of()).alias("text"))
+    sets = steps.store(
+        texts.join(wanted.hint("merge"), "place")
+        .select("row", "text")
         .mapInPandas(made, "row long, shingles array<long>")
-        .dropDuplicates(["row"])
     )
     first = sets.select(F.col("row").alias("u"), F.col("shingles").alias("a"))
     second = sets.select(F.col("row").alias("v"), F.col("shingles").alias("b"))
@@ -162,7 +169,10 @@ def _linked(pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, num: int
                 keep.append(common * den >= num * (len(a) + len(b) - common))
             yield batch.loc[keep, ["u", "v"]]
 
-    return pairs.join(first, "u").join(second, "v").mapInPandas(kept, "u long, v long")
+    both = pairs.join(first.hint("merge"), "u").join(second.hint("merge"), "v")
+    found = steps.store(both.mapInPandas(kept, "u long, v long"))
+    steps.drop(wanted, sets)
+    return found
 
 
 def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -176,10 +186,10 @@ def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _star_pairs(mixed: DataFrame, known: DataFrame, turn: int, num: int, den: int) -> DataFrame:
     """Each part's classes with one of them, another one each turn."""
-    lowest = F.struct(F.xxhash64("node", F.lit(turn)), "node", "label")
-    pivot = F.min(lowest).over(Window.partitionBy("key"))
+    lowest = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "label")
+    pivots = mixed.groupBy("key").agg(F.min(lowest).alias("pivot"))
     pairs = (
-        mixed.select("*", pivot.alias("pivot"))
+        join_summary(mixed, pivots, ["key"], "inner")
         .where("label <> pivot.label")
         .select(
             F.least("node", "pivot.node").alias("u"), F.greatest("node", "pivot.node").alias("v")
@@ -191,6 +201,12 @@ def _star_pairs(mixed: DataFrame, known: DataFrame, turn: int, num: int, den: in
     return pairs.join(left, "u").join(right, "v").where(fits).select("u", "v")
 
 
+def _several(rows: DataFrame, value: str) -> DataFrame:
+    """The keys under which ``rows`` have more than one ``value``."""
+    ends = rows.groupBy("key").agg(F.min(value).alias("a"), F.max(value).alias("b"))
+    return ends.where("a <> b").select("key")
+
+
 def _rest_pairs(mixed: DataFrame, known: DataFrame, turn: int, num: int, den: int) -> DataFrame:
     """All classes of a part that are not in one component yet."""
     left, right = _sides(mixed.join(known, "node"))
@@ -200,30 +216,34 @@ def _rest_pairs(mixed: DataFrame, known: DataFrame, turn: int, num: int, den: in
     return both.select("u", "v").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, steps: Steps) -> DataFrame:
     """``node`` and ``label``, the smallest node it is connected with, for linked nodes.
 
     Large-star and small-star steps in turn: each node's larger neighbours, then its
     smaller ones, are tied to the smallest of all.  Both work on edges alone, and the
     number of rounds grows with the logarithm of the longest chain.
     """
-    edges = stored(links.select("u", "v").where("u <> v").distinct())
+    edges = steps.store(links.select("u", "v").where("u <> v").distinct())
     before = None
     while True:
         both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (
-            both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            join_summary(both, low, ["u"], "inner")
+            .where("v > u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v"))
         ).where("u <> v").distinct()
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         small_low = down.groupBy("u").agg(F.min("v").alias("m"))
-        joined = down.join(small_low, "u")
-        edges = stored(
+        joined = join_summary(down, small_low, ["u"], "inner")
+        tied = steps.store(
             joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(small_low.select("u", F.col("m").alias("v")))
             .where("u <> v")
             .distinct()
         )
+        steps.drop(edges)
+        edges = tied
         seen = edges.agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31))).alias("s"),
@@ -235,29 +255,36 @@ def components(links: DataFrame) -> DataFrame:
         before = seen
 
 
-def near_groups(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def near_groups(
+    steps: Steps, docs: DataFrame, n: int, num: int, den: int
+) -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` with ``label``, one for each component, and the components.
 
     Rows: doc_id, place, row, n_shingles, label (null without shingles).  Components:
-    label, component_id.  See near_components.
+    label, component_id.  See near_components.  Both read step tables.
     """
     small_batches(docs.sparkSession)
-    rows = stored(_sketched(docs, n, num, den))
-    classes = stored(
+    sketched = steps.store(_sketched(docs, n, num, den))
+    rows = steps.store(sketched.drop("keys"))
+    classes = steps.store(
         rows.where("n_shingles > 0")
         .groupBy("n_shingles", "d1", "d2")
         .agg(F.min("doc_id").alias("low"), F.min("row").alias("node"))
     )
-    chosen = rows.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
-    at = Window.partitionBy("key")
-    meeting = stored(
-        chosen.select(F.col("row").alias("node"), F.explode("keys").alias("key"))
-        .select("*", F.min("node").over(at).alias("a"), F.max("node").over(at).alias("b"))
-        .where("a <> b")
-        .select("key", "node")
+    chosen = sketched.select("row", "keys").join(
+        classes.select(F.col("node").alias("row")), "row", "left_semi"
     )
-    nodes = stored(meeting.select("node").distinct())
-    known = stored(
+    dealt = chosen.select(F.col("row").alias("node"), F.explode("keys").alias("key"))
+    # Most keys are held by one class and meet nothing: they are counted once, in
+    # one shuffle, and the filter keeps their rows out of the join.
+    shared = steps.store(_several(dealt, "node"))
+    meeting = steps.store(
+        join_summary(maybe_in(dealt, shared, KEY_BITS).where("_maybe").drop("_maybe"),
+                     shared, ["key"], "inner").select("key", "node")
+    )
+    steps.drop(sketched, shared)
+    nodes = steps.store(meeting.select("node").distinct())
+    known = steps.store(
         rows.select(F.col("row").alias("node"), "n_shingles", "sketch").join(
             nodes, "node", "left_semi"
         )
@@ -265,22 +292,21 @@ def near_groups(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame,
     labels = nodes.select("node", F.col("node").alias("label"))
     links = None
     for turn in range(STAR_ROUNDS + 1):
-        mixed = (
-            meeting.join(labels, "node")
-            .select("*", F.min("label").over(at).alias("a"), F.max("label").over(at).alias("b"))
-            .where("a <> b")
-            .select("key", "node", "label")
-        )
+        told = steps.store(meeting.join(labels, "node").select("key", "node", "label"))
+        mixed = steps.store(join_summary(told, _several(told, "label"), ["key"], "left_semi"))
+        steps.drop(told)
         find = _star_pairs if turn < STAR_ROUNDS else _rest_pairs
-        pairs = stored(find(mixed, known, turn, num, den))
-        new = stored(_linked(pairs, docs, rows, n, num, den))
+        pairs = steps.store(find(mixed, known, turn, num, den))
+        steps.drop(mixed)
+        new = _linked(steps, pairs, docs, rows, n, num, den)
+        steps.drop(pairs)
         links = new if links is None else links.union(new)
-        labels = stored(
-            nodes.join(components(links), "node", "left").select(
+        labels = steps.store(
+            nodes.join(components(links, steps), "node", "left").select(
                 "node", F.coalesce("label", "node").alias("label")
             )
         )
-    lows = stored(
+    lows = steps.store(
         classes.join(labels, "node", "left").select(
             "n_shingles", "d1", "d2", "low", F.coalesce("label", "node").alias("label")
         )
@@ -316,29 +342,35 @@ def near_components(
     are their own component.  A null doc_id takes part, but is never a component's id
     while another id is there.  Repeated rows are one class.  Other columns are ignored.
     """
-    rows, ids = near_groups(docs, n, num, den)
-    # A component may hold a third of the rows: the join can be split within a label.
-    return join_summary(rows, ids, ["label"]).select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    with Steps(docs.sparkSession) as steps:
+        rows, ids = near_groups(steps, docs, n, num, den)
+        # A component may hold a third of the rows: the join can be split within a label.
+        named = join_summary(rows, ids, ["label"]).select(
+            "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        )
+        return steps.keep(steps.store(named))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs``, of each component only the document with the smallest id.
 
     A null id comes after all others; of rows that agree in id and text one stays.
-    Documents without words link with nothing, so all of them stay.
+    Documents without words link with nothing, so all of them stay.  Very long texts,
+    ties and empty tables are as in near_components; columns pass as they are, whatever
+    their names.
     """
-    rows, _ = near_groups(docs, n, num, den)
-    grouped = stored(rows.where("label is not null").select("doc_id", "place", "row", "label"))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "place", "row")
-    best = grouped.groupBy("label").agg(F.min(order).alias("best"))
-    judged = stored(
-        join_summary(grouped, best, ["label"], "inner").select(
-            "place", (F.col("row") == F.col("best.row")).alias("stays")
+    with Steps(docs.sparkSession) as steps:
+        rows, _ = near_groups(steps, docs, n, num, den)
+        grouped = steps.store(rows.where("label is not null").select("doc_id", "place", "row", "label"))
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "place", "row")
+        best = grouped.groupBy("label").agg(F.min(order).alias("best"))
+        judged = steps.store(
+            join_summary(grouped, best, ["label"], "inner").select(
+                "place", (F.col("row") == F.col("best.row")).alias("stays")
+            )
         )
-    )
-    copies = judged.groupBy("place").agg(
-        F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n")
-    ).where("not stays or n > 1")
-    return without_places(docs, stored(copies))
+        copies = judged.groupBy("place").agg(
+            F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n")
+        ).where("not stays or n > 1")
+        gone = steps.keep(steps.store(copies))
+    return without_places(docs, gone)

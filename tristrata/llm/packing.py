@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -17,6 +18,7 @@ from tristrata.llm.storage import small_batches, stored, text_of
 LIMIT = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
+LONG_SPACE = 50_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 
@@ -25,8 +27,9 @@ class Encoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit numbers.
 
     The vocabulary is that of the tokenizer file; its merges are run by tiktoken, which
-    gives the same ids several times faster.  A text that spells a special token out is
-    read by the tokenizer itself.
+    gives the same ids several times faster.  A text that spells a special token out, or
+    holds a run of white space of LONG_SPACE characters, is read by the tokenizer itself:
+    tiktoken's pattern overflows its stack on runs of about a million.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -58,9 +61,12 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if any(x in text for x in self.special):
             return self.whole(text)
+        if len(text) >= LONG_SPACE and _BLANK.search(text):
+            return self.whole(text)
         return array("I", self.plain(text)).tobytes()
 
 
+_BLANK = re.compile(rf"\s{{{LONG_SPACE}}}")
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -202,7 +208,7 @@ def packed_sequences(docs: DataFrame, path: str | None = None, limit: int = LIMI
 
     Columns: doc_id, piece, start, length, ids_crc32, sequence_id, offset.  A null or
     empty text is its end id alone; a null doc_id and repeated rows are packed like
-    others; very long texts become pieces; other columns are ignored; no documents, no
+    others; very long texts, also of white space alone, become pieces; other columns are ignored; no documents, no
     rows.
     """
     return pack(stored(token_pieces(docs, path or tokenizer_path(), limit)), limit)

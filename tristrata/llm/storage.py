@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +19,20 @@ FILTER_BITS = 1 << 22
 
 _OWN: dict[str, str] = {}
 
+#: Shuffle files go when the job that wrote them ends, not when the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where that is unset, one of our own."""
+    """The folder in ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets a temporary folder.  On a cluster that is an
+    error, as executors would each write to a disk of their own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         own = spark.sparkContext.applicationId
         if own not in _OWN:
             _OWN[own] = tempfile.mkdtemp(prefix="tristrata-")
@@ -35,11 +46,70 @@ def stored(rows: DataFrame) -> DataFrame:
     Later stages start from the files: a lost executor costs them its own tasks only,
     and values that depend on the partitioning are fixed from here on.
     """
-    path = f"{shared_folder(rows.sparkSession)}/llm-{uuid.uuid4().hex}"
+    return _stored(rows, f"{shared_folder(rows.sparkSession)}/llm-{uuid.uuid4().hex}")
+
+
+def _stored(rows: DataFrame, path: str) -> DataFrame:
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+class Steps:
+    """The step tables of one operator, which go when they are no longer read.
+
+    A table is dropped by name as soon as the next one is written.  Leaving the ``with``
+    block drops the rest, except for those that the operator's result still reads
+    (``keep``); after an error it drops all.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+        self.paths: dict[str, DataFrame] = {}
+        self.kept: list[DataFrame] = []
+        self.quick_cleanup = settings(spark, **{_CLEANUP: "true"})
+
+    def __enter__(self) -> Steps:
+        self.quick_cleanup.__enter__()
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        self.quick_cleanup.__exit__(kind, error, trace)
+        kept = [] if kind else self.kept
+        self.drop(*[t for t in self.paths.values() if not any(t is k for k in kept)])
+
+    def store(self, rows: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{len(self.paths)}-{uuid.uuid4().hex[:8]}"
+        self.paths[path] = _stored(rows, path)
+        return self.paths[path]
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        self.kept.append(table)
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in [p for p, t in self.paths.items() if any(t is x for x in tables)]:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+            del self.paths[path]
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for the jobs run inside; then as before."""
+    named = dict(values)
+    before = {k: spark.conf.get(k, None) for k in named}
+    for k, v in named.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
@@ -54,30 +124,39 @@ def place_of():
     return F.xxhash64("doc_id", text_of())
 
 
-def _bitmap(places: DataFrame) -> DataFrame:
-    """One row: a bit for each ``place``.  Its size is fixed (512 KB)."""
-    slot = f"pmod(xxhash64(place), {FILTER_BITS})"
-    longs = places.groupBy(F.expr(f"{slot} div 64").alias("id")).agg(
+def _bitmap(values: DataFrame, bits: int) -> DataFrame:
+    """One row: a bit for each value of the only column.  Its size is fixed."""
+    slot = f"pmod(xxhash64(`{values.columns[0]}`), {bits})"
+    longs = values.groupBy(F.expr(f"{slot} div 64").alias("id")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast({slot} % 64 as int))")).alias("bits")
     )
-    every = places.sparkSession.range(FILTER_BITS // 64)
+    every = values.sparkSession.range(bits // 64)
     filled = every.join(longs, "id", "left").select("id", F.coalesce("bits", F.lit(0)).alias("b"))
     ordered = F.sort_array(F.collect_list(F.struct("id", "b")))
     return filled.agg(ordered.alias("o")).select(F.transform("o", lambda x: x["b"]).alias("bits"))
 
 
-def _marked(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """``docs`` with ``place`` and ``_maybe``: false if it is surely not in ``places``."""
-    slot = f"pmod(xxhash64(place), {FILTER_BITS})"
+def maybe_in(rows: DataFrame, values: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``rows`` with ``_maybe``: false if they surely hold none of ``values``.
+
+    ``values`` has one column, of the name it has in ``rows``.  A join is to follow; what
+    it has to shuffle is cut by a bitmap of fixed size (``bits`` / 8 bytes).  With very
+    many values the bitmap lets more through, never fewer.
+    """
+    slot = f"pmod(xxhash64(`{values.columns[0]}`), {bits})"
     bit = f"shiftright(_bits[cast({slot} div 64 as int)], cast({slot} % 64 as int)) & 1 = 1"
     return (
-        docs.withColumn("place", place_of())
-        .withColumn("_bits", _bitmap(places.select("place")).scalar())
+        rows.withColumn("_bits", _bitmap(values, bits).scalar())
         .withColumn("_maybe", F.expr(bit))
         .drop("_bits")
     )
 
 
+def _marked(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``docs`` with ``place`` and ``_maybe``: false if it is surely not in ``places``."""
+    return maybe_in(docs.withColumn("place", place_of()), places.select("place"))
+
+
 def maybe_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     """``docs`` with ``place``, without most rows that are not in ``places``.
 
