@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 512
 BATCH_BYTES = 1 << 20
 
+#: The same as session settings, for ``settings``.
+ARROW_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+}
+
 #: Bits of the filter for rows that are looked for.
 FILTER_BITS = 1 << 22
 
@@ -111,8 +117,8 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
 
 
 def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    for name, value in ARROW_BATCHES.items():
+        spark.conf.set(name, value)
 
 
 def text_of(name: str = "text"):
