@@ -15,6 +15,7 @@ from tristrata.llm import (
     near,
     packing,
     quality,
+    toxicity,
     trie,
     urls,
 )
@@ -75,6 +76,11 @@ def op10_block_labeller(spark, sf_dir):
     return extract.main_text(_given(spark, sf_dir, "pages"))
 
 
+def op11_counterfactual_toxicity(spark, sf_dir):
+    documents = _given(spark, sf_dir, "documents")
+    return toxicity.toxicity_scores(documents, _given(spark, sf_dir, "labels"))
+
+
 def op12_van_emde_boas_trie(spark, sf_dir):
     return trie.prefix_trie(_given(spark, sf_dir, "conversations"))
 
@@ -96,6 +102,7 @@ QUERIES = {
         op8_patience_licenses,
         op9_parity_sketch_join,
         op10_block_labeller,
+        op11_counterfactual_toxicity,
         op12_van_emde_boas_trie,
         op13_row_accumulation_divergence,
     )

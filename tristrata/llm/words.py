@@ -26,11 +26,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_VALUE = mix(np.arange(1, 257, dtype="uint64") * _U(_BASE))
+#: A number for each byte, for rolling hashes.
+VALUE = mix(np.arange(1, 257, dtype="uint64") * _U(_BASE))
 
 
 @lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the base of rolling hashes, and of its inverse."""
     up = np.full(n, _BASE, "uint64")
     down = np.full(n, pow(_BASE, -1, 1 << 64), "uint64")
     up[0] = down[0] = 1
@@ -42,9 +44,9 @@ def _hash_piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     edge = np.flatnonzero(space[1:] != space[:-1])
     begin, end = edge[::2], edge[1::2]
     room = max(PIECE, 1 << (len(data)).bit_length()) + 1
-    up, down = _powers(room)
+    up, down = powers(room)
     total = np.zeros(len(data) + 1, "uint64")
-    np.cumsum(_VALUE[_LOWER[data]] * up[: len(data)], out=total[1:])
+    np.cumsum(VALUE[_LOWER[data]] * up[: len(data)], out=total[1:])
     return mix((total[end] - total[begin]) * down[begin] + (end - begin).astype("uint64")), begin, end
 
 
