@@ -26,7 +26,7 @@ from tristrata.operators.sampling import capped_sample  # noqa: E402
 from tristrata.operators.stamps import stamp_ingested  # noqa: E402
 from tristrata.plans import gold, rules, views  # noqa: E402
 from tristrata.plans.silver import silver  # noqa: E402
-from tristrata.sources.ndjson import MALFORMED, parse_json, readable  # noqa: E402
+from tristrata.sources.ndjson import MALFORMED, audit_source, parse_json, readable  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -80,10 +80,7 @@ def json_readable_rows(spark, sf_dir):
 
 
 def source_audit(spark, sf_dir):
-    return _raw_events(spark, sf_dir).agg(
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed"),
-    )
+    return audit_source(_raw_events(spark, sf_dir).drop("event_id"))
 
 
 def json_map_lookup(spark, sf_dir):

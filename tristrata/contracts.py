@@ -216,7 +216,7 @@ PIPELINE_METRICS = """
     pipeline_run_id string, table_name string, records_processed bigint,
     processing_time_seconds decimal(10,2), status string, error_message string,
     processing_timestamp timestamp, rows_in bigint, rows_quarantined bigint,
-    rows_duplicate bigint
+    rows_duplicate bigint, values_unparsable bigint
 """
 EXECUTION_LOG = """
     pipeline_name string, stage string, start_time timestamp, end_time timestamp,

@@ -36,12 +36,13 @@ from tristrata.plans import gold as gold_plans
 from tristrata.plans import rules, views
 from tristrata.plans.silver import silver
 from tristrata.sinks.jdbc import jdbc_options, load_jdbc
-from tristrata.sinks.tables import append_rows, overwrite
-from tristrata.sources.ndjson import MALFORMED, malformed, read_raw, readable
+from tristrata.sinks.tables import Split, append, append_rows, overwrite, read_table
+from tristrata.sources.ndjson import MALFORMED, REJECT, read_raw, with_rejects
 
 log = logging.getLogger(__name__)
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
+KEPT = "no rows: the table written before stays"
 
 # The order of the loads.
 LOAD_ORDER = (
@@ -121,16 +122,17 @@ def build_bronze(
         return checks
 
     def ingest(dataset: str) -> dict:
-        raw = opened[dataset]
-        seen = Observation()
-        bad = F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed")
-        kept = readable(raw.observe(seen, bad))
-        named = stamp_ingested(kept, (source_names or {}).get(dataset))
-        counts = {**_refreshed(named, f"{bronze}/{dataset}"), **seen.get}
-        lines = malformed(raw)
-        # The file is read again only if the first pass found such lines.
-        overwrite(lines if counts["malformed"] else lines.limit(0), f"{rejects}/{dataset}")
-        return counts
+        """The file is parsed once: rows and malformed lines are written together."""
+        raw, path = opened[dataset], f"{bronze}/{dataset}"
+        fields = [c for c in raw.columns if c != MALFORMED]
+        stamped = stamp_ingested(raw, (source_names or {}).get(dataset))
+        found = {"malformed": F.count_if(F.col(REJECT))}
+        with Split(with_rejects(stamped, fields), path, REJECT, found) as split:
+            overwrite(split.rows(True).select("line", "kept"), f"{rejects}/{dataset}")
+            columns = [c for c in stamped.columns if c != MALFORMED]
+            if not split.publish(False, columns):
+                raise RuntimeError(KEPT)
+        return split.counts
 
     return [_attempt("bronze", d, lambda d=d: ingest(d)) for d in sources]
 
@@ -142,7 +144,7 @@ def build_silver(
     spark: SparkSession, bronze: str, silver_root: str, datasets=DATASETS
 ) -> list[Outcome]:
     def refine(dataset: str) -> dict:
-        cleaned = silver(dataset, spark.read.parquet(f"{bronze}/{dataset}"))
+        cleaned = silver(dataset, read_table(spark, f"{bronze}/{dataset}"))
         return _refreshed(cleaned, f"{silver_root}/{dataset}")
 
     return [_attempt("silver", d, lambda d=d: refine(d)) for d in datasets]
@@ -153,7 +155,7 @@ def build_gold(spark: SparkSession, silver_root: str, gold: str) -> list[Outcome
     table, so that the review join is not computed a second time."""
 
     def read(layer: str, name: str) -> DataFrame:
-        return spark.read.parquet(f"{layer}/{name}")
+        return read_table(spark, f"{layer}/{name}")
 
     plans = {
         "business_analytics": lambda: gold_plans.business_analytics(
@@ -179,7 +181,7 @@ def _refreshed(rows: DataFrame, path: str) -> dict:
     """Overwrite; a refresh without rows fails, and the table that was there stays."""
     counts = overwrite(rows, path, keep_if_empty=True)
     if counts.pop("kept"):
-        raise RuntimeError("no rows: the table written before stays")
+        raise RuntimeError(KEPT)
     return counts
 
 
@@ -208,9 +210,6 @@ class Delivery:
     def duplicates(self, name: str) -> str:
         return f"{self.root}/duplicates/{name}"
 
-    def staged(self, name: str) -> str:
-        return f"{self.root}/staged/{name}"
-
     @property
     def catalog(self) -> str:
         return f"{self.root}/rule_catalog"
@@ -229,12 +228,13 @@ def load_table(
 ) -> dict[str, int]:
     """Contract, quarantine, unique keys, full refresh: ``source`` to a table.
 
-    ``source`` is read once: each row is judged and written with its reasons, and what
-    follows starts from there.  Every input row ends up in one of ``rows``,
+    ``source`` is read once: each row is judged and written, sound rows in the table's
+    columns and the others as they came, with their reasons.  Every input row ends up in one of ``rows``,
     ``quarantined`` or ``duplicate``; ``unparsable`` counts dates and timestamps that
     became null.  Keys held twice are found on the keys alone and written as a report
     first.  Only rows with a reported key are ranked against each other, so a table
-    whose keys are unique is loaded without shuffling its rows.  Where nothing would be
+    whose keys are unique is loaded without shuffling its rows, and what was written
+    first becomes its next version.  Where nothing would be
     loaded, the table keeps the rows it had.
     """
     name, key = contract.name, list(contract.identity)
@@ -243,26 +243,27 @@ def load_table(
         log.warning("%s: column %s is not loaded: %s", name, column, reason)
     prepared = conform.loadable(named, contract)
     counts = {
-        "held": F.count_if(F.col(conform.REASONS).isNotNull()),
+        "held": F.count_if(F.col(conform.HELD)),
         "unparsable": F.coalesce(F.sum(conform.UNPARSABLE), F.lit(0)),
     }
-    seen = overwrite(conform.judged(prepared, contract), to.staged(name), counts)
-    staged = spark.read.parquet(to.staged(name))
-    overwrite(conform.held_back(staged), to.quarantine(name))
-    sound = conform.passed(staged, contract)
-
-    surplus = {"surplus": F.coalesce(F.sum(F.col("n") - 1), F.lit(0))}
-    clashes = overwrite(duplicate_keys(sound, key), to.duplicates(name), surplus)
-    if clashes["rows"]:
-        repeated = spark.read.parquet(to.duplicates(name)).select(*key)
-        sound = unique_rows(sound, repeated, key, contract.column_names)
-    stamped = stamp_loaded(sound, contract.stamps)
-    loaded = overwrite(stamped, to.table(name), keep_if_empty=True)
+    stamped = stamp_loaded(conform.told_apart(prepared, contract), contract.stamps)
+    columns = [*contract.column_names, *contract.stamps]
+    with Split(stamped, to.table(name), conform.HELD, counts) as split:
+        overwrite(split.rows(True).select(f"{conform.AS_IT_CAME}.*"), to.quarantine(name))
+        sound, loaded = split.rows(False).select(*columns), split.counts["rows"]
+        surplus = {"surplus": F.coalesce(F.sum(F.col("n") - 1), F.lit(0))}
+        clashes = overwrite(duplicate_keys(sound, key), to.duplicates(name), surplus)
+        if clashes["rows"]:
+            repeated = read_table(spark, to.duplicates(name)).select(*key)
+            unique = unique_rows(sound, repeated, key, contract.column_names)
+            loaded = overwrite(unique, to.table(name), keep_if_empty=True)["rows"]
+        else:
+            split.publish(False, columns)
     return {
-        "rows": loaded["rows"],
-        "quarantined": seen["held"],
+        "rows": loaded,
+        "quarantined": split.counts["held"],
         "duplicate": clashes["surplus"],
-        "unparsable": seen["unparsable"],
+        "unparsable": split.counts["unparsable"],
     }
 
 
@@ -283,23 +284,23 @@ def deliver(
     """
 
     def reviews() -> DataFrame:
-        review = spark.read.parquet(f"{silver_root}/review")
+        review = read_table(spark, f"{silver_root}/review")
         if sample_rows is None:
             return review
         return capped_sample(review, sample_rows, ["review_id"], ties=review.columns)
 
     sources = {
-        "business_analytics": lambda: spark.read.parquet(f"{gold}/business_analytics"),
-        "business_details": lambda: spark.read.parquet(f"{silver_root}/business"),
-        "user_analytics": lambda: spark.read.parquet(f"{gold}/user_analytics"),
-        "city_summary": lambda: spark.read.parquet(f"{gold}/city_summary"),
+        "business_analytics": lambda: read_table(spark, f"{gold}/business_analytics"),
+        "business_details": lambda: read_table(spark, f"{silver_root}/business"),
+        "user_analytics": lambda: read_table(spark, f"{gold}/user_analytics"),
+        "city_summary": lambda: read_table(spark, f"{gold}/city_summary"),
         "reviews": reviews,
     }
 
     def load(name: str) -> dict:
         counts = load_table(spark, sources[name](), WAREHOUSE[name], to)
         if jdbc_url and counts["rows"]:
-            written = spark.read.parquet(to.table(name))
+            written = read_table(spark, to.table(name))
             contract = WAREHOUSE[name]
             more = {"createTableColumnTypes": contract.database_types, **(jdbc_extra or {})}
             load_jdbc(written, jdbc_options(jdbc_url, name, contract.batch_rows, **more))
@@ -319,7 +320,7 @@ def delivered(spark: SparkSession, to: Delivery) -> dict[str, DataFrame]:
     found = {}
     for name in WAREHOUSE:
         try:
-            found[name] = spark.read.parquet(to.table(name))
+            found[name] = read_table(spark, to.table(name))
         except AnalysisException:
             continue
     return found
@@ -327,25 +328,24 @@ def delivered(spark: SparkSession, to: Delivery) -> dict[str, DataFrame]:
 
 def validate(spark: SparkSession, to: Delivery, gate: float = rules.COUNT_GATE) -> DataFrame:
     """Share of the warehouse tables that have rows, against the gate."""
-    tables = delivered(spark, to)
-    counted = [
-        rules.Threshold(f"{name}_count", name, at_least=1) for name in WAREHOUSE
-    ]
-    return rules.score(rules.check_thresholds(spark, tables, counted), gate)
+    counted = rules.row_counts(delivered(spark, to))
+    wanted = spark.createDataFrame([(n,) for n in WAREHOUSE], "table_name string")
+    each = wanted.join(counted, "table_name", "left")
+    return rules.score(each.select(F.coalesce("passed", F.lit(False)).alias("passed")), gate)
 
 
 def seed_catalog(spark: SparkSession, to: Delivery, seeds=rules.CATALOG) -> DataFrame:
     """Add the rules whose name the stored catalog lacks, and return the catalog."""
     seeded = rules.catalog_rows(spark, seeds)
     try:
-        stored = spark.read.schema(rules.CATALOG_COLUMNS).parquet(to.catalog)
+        stored = read_table(spark, to.catalog)
         seeded = absent(stored, seeded, ["check_name"])
     except AnalysisException:
         pass  # no catalog yet
     new = [tuple(rule) for rule in seeded.collect()]
     if new:
         append_rows(spark, to.catalog, new, rules.CATALOG_COLUMNS)
-    return spark.read.schema(rules.CATALOG_COLUMNS).parquet(to.catalog)
+    return read_table(spark, to.catalog)
 
 
 def record_checks(spark: SparkSession, to: Delivery) -> DataFrame:
@@ -354,8 +354,8 @@ def record_checks(spark: SparkSession, to: Delivery) -> DataFrame:
     stored = [tuple(rule) for rule in seed_catalog(spark, to).collect()]
     results = rules.run_catalog(spark, stored)
     columns = [c.split()[0] for c in QUALITY_CHECKS.strip().split(",")]
-    results.select(*columns).coalesce(1).write.mode("append").parquet(to.checks)
-    return spark.read.schema(QUALITY_CHECKS).parquet(to.checks)
+    append(results.select(*columns).coalesce(1), to.checks)
+    return read_table(spark, to.checks)
 
 
 # --- bookkeeping ------------------------------------------------------------
@@ -377,6 +377,7 @@ def record_metrics(
             sum(o.counts.get(c, 0) for c in ("rows", "quarantined", "duplicate")),
             o.counts.get("quarantined", 0),
             o.counts.get("duplicate", 0),
+            o.counts.get("unparsable", 0),
         )
         for o in outcomes
     ]

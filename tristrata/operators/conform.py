@@ -12,6 +12,7 @@ from tristrata.operators.columns import unloadable
 
 
 REASONS, UNPARSABLE = "reasons", "unparsable"
+HELD, AS_IT_CAME = "is_held", "as_it_came"
 
 
 def violations(df: DataFrame, contract: TableContract) -> list[Column]:
@@ -64,6 +65,22 @@ def passed(judged_rows: DataFrame, contract: TableContract) -> DataFrame:
     return rows.select(*(_conformed(rows, r).alias(r.name) for r in contract.columns))
 
 
+def told_apart(df: DataFrame, contract: TableContract) -> DataFrame:
+    """Every row in the contract's columns, and whether it is ``HELD`` back.
+
+    A row held back has nulls in them and stands in ``AS_IT_CAME``, with its reasons.
+    ``unparsable`` is as in ``judged``.
+    """
+    rows = judged(df, contract)
+    held = F.col(REASONS).isNotNull()
+    return rows.select(
+        *(F.when(~held, _conformed(df, r)).alias(r.name) for r in contract.columns),
+        F.when(held, F.struct(*df.columns, REASONS)).alias(AS_IT_CAME),
+        UNPARSABLE,
+        held.alias(HELD),
+    )
+
+
 def loadable(df: DataFrame, contract: TableContract) -> DataFrame:
     """Only columns the contract names and a table can hold."""
     return df.drop(*unloadable(df, contract))

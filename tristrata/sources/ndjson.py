@@ -5,12 +5,13 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tristrata.contracts import RAW_SCHEMAS
 
 MALFORMED = "_corrupt_record"
+REJECT = "is_reject"
 
 
 def read_raw(
@@ -71,20 +72,44 @@ def malformed(raw: DataFrame) -> DataFrame:
     return bad.select(F.col(MALFORMED).alias("line"), kept.alias("kept"))
 
 
-def audit_source(raw: DataFrame) -> dict[str, int]:
-    """Rows read and rows malformed, from one pass that keeps nothing.
+def with_rejects(raw: DataFrame, fields: list[str]) -> DataFrame:
+    """Readable rows and malformed lines out of one parse, apart by ``REJECT``.
 
-    A missing path fails when :func:`read_raw` is called.
+    A line with one bad field gives a row of either kind: its fields, and its text in
+    ``line`` with what could be read of it in ``kept``.  ``fields`` are the declared ones;
+    further columns of ``raw`` stay with the fields.
     """
-    seen = Observation()
-    (
-        raw.observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed"),
-        )
-        .write.format("noop")
-        .mode("overwrite")
-        .save()
+    others = [c for c in raw.columns if c != MALFORMED]
+    kinds = {c: raw.schema[c].dataType for c in others}
+    text = F.lit(None).cast("string")
+    row = F.struct(*others, text.alias("line"), text.alias("kept"), F.lit(False).alias(REJECT))
+    reject = F.struct(
+        *(F.lit(None).cast(kinds[c]).alias(c) for c in others),
+        F.col(MALFORMED).alias("line"),
+        F.to_json(F.struct(*fields)).alias("kept"),
+        F.lit(True).alias(REJECT),
+    )
+    is_bad = F.col(MALFORMED).isNotNull()
+    gives_rows = reduce(or_, (F.col(f"`{c}`").isNotNull() for c in fields))
+    kinds_of_row = (
+        F.when(~is_bad, F.array(row)).when(gives_rows, F.array(row, reject)).otherwise(F.array(reject))
     )
-    return seen.get
+    return raw.select(F.inline(kinds_of_row))
+
+
+def audit_columns() -> list:
+    """Rows read and rows malformed, as aggregates over a raw dataset."""
+    return [
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed"),
+    ]
+
+
+def audit_source(raw: DataFrame) -> DataFrame:
+    """One row: rows read and rows malformed.  Every field is asked for, as a line is
+    found bad only in fields that are.
+
+    A missing path fails when :func:`read_raw` is called.
+    """
+    read = F.to_json(F.struct(*(c for c in raw.columns if c != MALFORMED)))
+    return raw.where(read.isNotNull()).agg(*audit_columns())
