@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -26,6 +27,8 @@ from tristrata.operators.sampling import capped_sample  # noqa: E402
 from tristrata.operators.stamps import stamp_ingested  # noqa: E402
 from tristrata.plans import gold, rules, views  # noqa: E402
 from tristrata.plans.silver import silver  # noqa: E402
+from tristrata.session import shared_folder  # noqa: E402
+from tristrata.sources.multiline import read_multiline  # noqa: E402
 from tristrata.sources.ndjson import MALFORMED, audit_source, parse_json, readable  # noqa: E402
 
 try:
@@ -83,6 +86,29 @@ def source_audit(spark, sf_dir):
     return audit_source(_raw_events(spark, sf_dir).drop("event_id"))
 
 
+#: Text with everything that could be taken for a record's border.
+_BORDERS = ' {"[ \\" }] \\'
+
+
+def json_multiline_records(spark, sf_dir):
+    """Orders as pretty-printed JSON files, read back without line borders."""
+    orders = given(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.concat("o_orderpriority", F.lit(_BORDERS)).alias("note"),
+        F.struct(F.col("o_custkey").alias("key"), F.array("o_orderstatus").alias("tags")).alias("of"),
+    )
+    folder = f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}"
+    orders.select(F.to_json(F.struct("*"), {"pretty": "true"})).write.text(folder)
+    schema = "o_orderkey bigint, note string, of struct<key:bigint,tags:array<string>>"
+    return read_multiline(spark, folder, schema).select(
+        "o_orderkey",
+        "note",
+        F.col("of.key").alias("custkey"),
+        F.col("of.tags")[0].alias("status"),
+        F.col(MALFORMED).isNotNull().alias("is_malformed"),
+    )
+
+
 def json_map_lookup(spark, sf_dir):
     props = F.from_json("props", "map<string,string>")
     return given(spark, sf_dir, "events").select(
@@ -366,6 +392,7 @@ def queries() -> dict[str, Query]:
         "json_schema_read": json_schema_read,
         "json_readable_rows": json_readable_rows,
         "source_audit": source_audit,
+        "json_multiline_records": json_multiline_records,
         "json_map_lookup": json_map_lookup,
         "silver_business": _silver("business"),
         "silver_review": _silver("review"),

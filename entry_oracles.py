@@ -232,6 +232,11 @@ ORACLES = {
         SELECT count(*) AS rows_read, count(CASE WHEN is_malformed THEN 1 END) AS malformed
         FROM ({_JSON_EVENTS})
     """,
+    "json_multiline_records": """
+        SELECT o_orderkey, o_orderpriority || ' {"[ \\" }] \\' AS note, o_custkey AS custkey,
+            o_orderstatus AS status, false AS is_malformed
+        FROM orders
+    """,
     "json_map_lookup": """
         SELECT event_id, try_cast(json_extract_string(props, '$.k') AS INTEGER) AS k
         FROM events

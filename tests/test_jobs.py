@@ -136,6 +136,49 @@ def test_bronze(spark, layers):
     assert read_table(spark, f"{root}/rejects/user").count() == 0
 
 
+def test_bronze_of_multi_line_files_is_the_same(spark, layers, tmp_path):
+    root = layers[0]
+    for name, rows in RAW.items():
+        sound = [r for r in rows if not isinstance(r, str)]
+        (tmp_path / f"raw_{name}.json").write_text(json.dumps(sound, indent=2))
+    sources = raw_files(str(tmp_path), prefix="raw_")
+    at = str(tmp_path / "bronze")
+    done = jobs.build_bronze(spark, sources, at, str(tmp_path / "rejects"), multi_line=True)
+    assert [o.error for o in done if o.error] == []
+    for name in DATASETS:
+        both = [
+            read_table(spark, f"{b}/{name}").drop("ingestion_timestamp")
+            for b in (f"{root}/bronze", at)
+        ]
+        assert both[0].columns == both[1].columns
+        shown = [sorted(str(r) for r in b.collect()) for b in both]
+        assert shown[0] == shown[1], name
+
+
+def test_a_file_with_bad_lines_is_parsed_once(spark, layers, tmp_path, monkeypatch):
+    reads = []
+    write = jobs.Split.__init__
+
+    def counted(self, df, *rest):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        reads.append(plan.count("FileScan json"))
+        write(self, df, *rest)
+
+    monkeypatch.setattr(jobs.Split, "__init__", counted)
+    overwritten = []
+    keep = jobs.overwrite
+
+    def watched(df, *rest, **more):
+        overwritten.append("json" in df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, *rest, **more)
+
+    monkeypatch.setattr(jobs, "overwrite", watched)
+    sources = raw_files(str(layers[0] / "input"), prefix="raw_")
+    done = jobs.build_bronze(spark, sources, str(tmp_path / "b"), str(tmp_path / "r"))
+    assert counts(done)["business"] == {"rows": 14, "malformed": 2}
+    assert reads == [1] * len(DATASETS) and not any(overwritten)
+
+
 def test_one_bad_field_keeps_the_others(spark, layers):
     df = read_table(spark, f"{layers[0]}/bronze/business").where("business_id = 'b10'")
     row = df.first()

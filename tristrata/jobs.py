@@ -22,6 +22,7 @@ from tristrata.contracts import (
     EXECUTION_LOG,
     PIPELINE_METRICS,
     QUALITY_CHECKS,
+    RAW_SCHEMAS,
     WAREHOUSE,
     TableContract,
 )
@@ -31,12 +32,13 @@ from tristrata.operators.columns import normalize_names, unloadable
 from tristrata.operators.dedupe import duplicate_keys
 from tristrata.operators.joining import absent, unique_rows
 from tristrata.operators.sampling import capped_sample
-from tristrata.operators.stamps import stamp_ingested, stamp_loaded
+from tristrata.operators.stamps import INGESTED, stamp_ingested, stamp_loaded
 from tristrata.plans import gold as gold_plans
 from tristrata.plans import rules, views
 from tristrata.plans.silver import silver
 from tristrata.sinks.jdbc import jdbc_options, load_jdbc
 from tristrata.sinks.tables import Split, append, append_rows, overwrite, read_table
+from tristrata.sources.multiline import read_multiline
 from tristrata.sources.ndjson import MALFORMED, REJECT, read_raw, with_rejects
 
 log = logging.getLogger(__name__)
@@ -105,13 +107,17 @@ def build_bronze(
     """Raw JSON to parquet with provenance; lines that did not fit go to ``rejects``.
 
     ``sources`` maps dataset to path.  ``source_file`` is the file each row was
-    read from, unless ``source_names`` gives a name for the dataset.  A missing
+    read from, unless ``source_names`` gives a name for the dataset.  With ``multi_line``
+    files hold arrays or records on several lines (still read by many tasks).  A missing
     path stops the job before anything is written.
     """
     opened: dict[str, DataFrame] = {}
 
     def open_source(dataset: str) -> dict:
-        opened[dataset] = read_raw(spark, sources[dataset], dataset, multi_line)
+        if multi_line:
+            opened[dataset] = read_multiline(spark, sources[dataset], RAW_SCHEMAS[dataset])
+        else:
+            opened[dataset] = read_raw(spark, sources[dataset], dataset)
         return {}
 
     checks = [_attempt("bronze", d, lambda d=d: open_source(d)) for d in sources]
@@ -124,13 +130,12 @@ def build_bronze(
     def ingest(dataset: str) -> dict:
         """The file is parsed once: rows and malformed lines are written together."""
         raw, path = opened[dataset], f"{bronze}/{dataset}"
-        fields = [c for c in raw.columns if c != MALFORMED]
+        fields = [c for c in raw.columns if c not in (MALFORMED, *INGESTED)]
         stamped = stamp_ingested(raw, (source_names or {}).get(dataset))
         found = {"malformed": F.count_if(F.col(REJECT))}
         with Split(with_rejects(stamped, fields), path, REJECT, found) as split:
             overwrite(split.rows(True).select("line", "kept"), f"{rejects}/{dataset}")
-            columns = [c for c in stamped.columns if c != MALFORMED]
-            if not split.publish(False, columns):
+            if not split.publish(False, [*fields, *INGESTED]):
                 raise RuntimeError(KEPT)
         return split.counts
 

@@ -6,9 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+INGESTED = ("ingestion_timestamp", "source_file", "data_layer")
+
+
 def stamp_ingested(df: DataFrame, source_file: str | None = None) -> DataFrame:
-    """Bronze provenance; without a name, each row gets the file it came from."""
-    origin = F.lit(source_file) if source_file else F.col("_metadata.file_name")
+    """Bronze provenance; without a name, each row gets the file it came from (a column
+    ``source_file`` that is there already says so)."""
+    known = "source_file" if "source_file" in df.columns else "_metadata.file_name"
+    origin = F.lit(source_file) if source_file else F.col(known)
     return df.withColumns(
         {
             "ingestion_timestamp": F.current_timestamp(),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -50,3 +51,23 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+_OWN_FOLDERS: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, for tables between steps.
+
+    Where it is unset, a local session gets a temporary folder.  On a cluster that is an
+    error, as executors would each write to a disk of their own.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
+        own = spark.sparkContext.applicationId
+        if own not in _OWN_FOLDERS:
+            _OWN_FOLDERS[own] = tempfile.mkdtemp(prefix="tristrata-")
+        folder = _OWN_FOLDERS[own]
+    return folder.rstrip("/")
