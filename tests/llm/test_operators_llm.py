@@ -167,6 +167,113 @@ def test_leaks_by_template_and_slots(spark):
     assert decontaminate.leaks(docs.limit(0), bench).count() == 0
 
 
+LONG = (
+    "In the old harbour of Rostock a boat with 5 red sails waits every morning while its owner "
+    "counts the 12 nets , repairs the ropes and tells the children who pass by how his father "
+    "once crossed the whole sea with Hanna , a dog and only 5 loaves of bread in a storm that "
+    "lasted for many days and nights without any rest at all"
+)
+PROBES = {
+    "one edited repeated number": (LONG, LONG.replace("only 5 loaves", "only 6 loaves")),
+    "a number that is there already": (LONG, LONG.replace("only 5 loaves", "only 12 loaves")),
+    "sums": ("What is 23 + 45 * 67?", "Some text. What is 23 + 45 * 67? And more of it."),
+    "small letters": ("we met Peter and then Anna near 3 old Houses", "so we met peter and then anna near 3 old houses today"),
+    "wrapped": ("we all met young Peter near the old town", "we all met young\nPeter near the\told town"),
+    "wrapped and changed": (LONG, LONG.replace("Rostock", "Bremen").replace(" ", "\n  ").replace("Hanna", "Berta")),
+    "no spaces": ("请问这列火车什么时候从北京出发到上海", "他说请问这列火车什么时候从北京出发到上海吗"),
+    "a whole short document": ("too short", "Too short!"),
+}
+
+
+def test_copies_in_any_dress_are_found(spark):
+    rows = [(k, text, "z") for k, (_, text) in enumerate(PROBES.values())]
+    rows += [(100, "This is too short to say what is 23 or 45 in a storm.", "z"), (101, LONG[:40], "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kinds string")
+    items = [(k, item) for k, (item, _) in enumerate(PROBES.values())] + [(50, "?!"), (51, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()}
+    same = [k for k, (item, _) in enumerate(PROBES.values()) if item == LONG]
+    expected = {(k, k) for k in range(len(PROBES))} | {(a, b) for a in same for b in same}
+    assert found == expected
+    assert sorted(r.doc_id for r in decontaminate.without_leaks(docs, bench).collect()) == [100, 101]
+
+
+def plain_leaks(docs, bench):
+    """Every window of every item held against every place of every document."""
+    def tokens(text):
+        text = re.sub(r"\s+", " ", text)
+        out = []
+        for m in re.finditer(r"\d+|[A-Za-z]+", text):
+            before = text[max(0, m.start() - 2) : m.start()]
+            name = re.match(r"[A-Z][a-z]", text[m.start() :]) and re.fullmatch(r"[a-z0-9,;] ", before)
+            kind = "#n" if m[0][0].isdigit() else "#p" if name else m[0].lower()
+            out.append((kind, m[0].lower()))
+        return out
+
+    found = set()
+    for i, item in bench:
+        own = tokens(item)
+        size = min(8, len(own))
+        ats = range(len(own) - size + 1)
+        literal = {a: sum(k[0] != "#" for k, _ in own[a : a + size]) for a in ats}
+        told = {a for a in ats if literal[a] * 8 >= size * 4}
+        need = lambda n: min(6, max(1, int(n * 0.6)))
+        for d, text in docs:
+            there = tokens(text)
+            plain, runs = set(), {}
+            for a in ats:
+                for p in range(len(there) - size + 1):
+                    x, y = own[a : a + size], there[p : p + size]
+                    if [t for _, t in x] == [t for _, t in y]:
+                        plain.add(a)
+                    if a in told and literal[a] < size and [k for k, _ in x] == [k for k, _ in y]:
+                        pairs = [(s, t) for (k, s), (_, t) in zip(x, y) if k[0] == "#"]
+                        runs.setdefault(p - a, {})[a] = pairs
+            good = set()
+            for run in runs.values():
+                n = {}
+                for pairs in run.values():
+                    for pair in pairs:
+                        n[pair] = n.get(pair, 0) + 1
+                best = lambda side, v: max((c, q) for q, c in n.items() if q[side] == v)
+                fits = lambda q: best(0, q[0])[1] == q and best(1, q[1])[1] == q
+                agree = {a for a, pairs in run.items() if all(fits(q) for q in pairs)}
+                if len(agree) >= 0.75 * len(run):
+                    good |= agree
+            proving = good | {a for a in plain if literal[a] == size}
+            if len(plain | good) >= need(len(ats)) or (told and len(proving) >= need(len(told))):
+                found.add((d, i))
+    return found
+
+
+def test_templates_against_every_window(spark):
+    r = random.Random(11)
+    words = "the a boat sails on to far old red sea and takes".split()
+
+    def made(n):
+        return " ".join(
+            r.choice(words) if r.random() < 0.75 else r.choice(("Peter", "Anna", "3", "17", "250")) for _ in range(n)
+        )
+
+    bench = [(k, made(r.choice((5, 9, 14, 30)))) for k in range(12)]
+    docs = []
+    for k in range(60):
+        item = r.choice(bench)[1].split()
+        for _ in range(r.choice((0, 1, 2, 6))):
+            item[r.randrange(len(item))] = r.choice(("Peter", "Maria", "9", "17", "boat"))
+        swap = dict(zip(("Peter", "Anna", "3", "17"), r.sample(("Karl", "Eva", "8", "44"), 4)))
+        if r.random() < 0.4:
+            item = [swap.get(w, w) for w in item]
+        docs.append((k, f"{made(6)} {' '.join(item)} {made(6)}"))
+    found = decontaminate.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(bench, "item_id long, text string"),
+    )
+    expected = plain_leaks(docs, bench)
+    assert {(x.doc_id, x.item_id) for x in found.collect()} == expected
+    assert len(expected) > 15
+
+
 def test_verbatim_passages_are_all_found(spark):
     documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     bench = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
@@ -301,6 +408,41 @@ def test_audit_finds_what_was_changed(spark):
     assert fixity.audit(ours.limit(0), ours.limit(0)).count() == 0
 
 
+def test_a_lost_record_marks_its_own_range_only(spark):
+    pages = spark.range(1000).selectExpr("id as page_id", "concat('u', id) as url", "repeat('x', 50) as html")
+    rows = fixity.manifest(fixity.digests(fixity.warc_records(pages)))
+    found = fixity.audit(rows, rows.where("page_id <> 0")).groupBy("status").count().collect()
+    assert {r.status: r["count"] for r in found} == {"missing": 1, "moved": 999}
+    none = spark.createDataFrame([], "archive long, parts long")
+    trees = [
+        fixity.merkle_tree(fixity._laid_out(m, none)).where("level = 0")
+        for m in (rows, rows.where("page_id <> 0"))
+    ]
+    assert fixity._differing(*(t.drop("level") for t in trees)).count() == 1
+
+
+@pytest.mark.parametrize("same_bytes", [True, False])
+def test_crowded_archives_of_reordered_replicas(spark, same_bytes):
+    text = F.lit("same") if same_bytes else F.concat(F.lit("n"), F.col("id"))
+    hot = spark.range(3000).select(F.lit(7).cast("long").alias("page_id"), F.lit("u").alias("url"), text.alias("html"))
+    none = spark.range(2500).selectExpr("cast(null as long) as page_id", "'v' as url", "concat('m', id) as html")
+    pages = hot.union(none)
+    mixed = pages.orderBy(F.xxhash64("html", F.rand(3)))
+    made = lambda df: fixity.manifest(fixity.digests(fixity.warc_records(df)))
+    assert fixity.audit(made(pages), made(mixed)).count() == 0
+    lost = hot.limit(2999) if same_bytes else hot.where("html <> 'n17'")
+    found = fixity.audit(made(pages), made(lost.union(none.where("html <> 'm3'")).orderBy(F.rand(5)))).collect()
+    by = [(r.status, r.page_id) for r in found if r.status != "moved"]
+    assert sorted(by, key=repr) == [("missing", 7), ("missing", None)]
+
+
+def test_all_of_a_hot_page_altered(spark):
+    made = lambda word: fixity.manifest(fixity.digests(fixity.warc_records(
+        spark.range(2600).selectExpr("5L as page_id", "'u' as url", f"concat('{word}', id) as html"))))
+    found = fixity.audit(made("a"), made("b")).groupBy("status").count().collect()
+    assert {r.status: r["count"] for r in found} == {"altered": 2600}
+
+
 # --- 8 ---------------------------------------------------------------------------
 
 
@@ -329,6 +471,68 @@ def test_license_spans(spark):
     assert licenses.license_spans(docs.limit(0)).count() == 0
 
 
+def test_every_copy_is_found_in_its_own_place(spark):
+    mit, nc = licenses.TEMPLATES["mit-notice"], licenses.TEMPLATES["cc-by-nc-4.0-notice"]
+    rows = [
+        (1, f"one {mit} {mit}"),
+        (2, f"Released under MIT License x y {mit}"),
+        (3, " ".join(f"{nc}. some text here" for _ in range(4))),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {}
+    for r in licenses.license_spans(docs).collect():
+        found.setdefault(r.doc_id, []).append((r.license, r.coverage, r.first_word, r.last_word))
+    assert sorted(found[1]) == [("mit-notice", 1.0, 1, 5), ("mit-notice", 1.0, 6, 10)]
+    assert sorted(found[2]) == [("mit-notice", 0.8, 0, 3), ("mit-notice", 1.0, 6, 10)]
+    assert sorted(found[3]) == [("cc-by-nc-4.0-notice", 1.0, k, k + 4) for k in (0, 8, 16, 24)]
+
+
+def test_spans_against_every_window():
+    """Every window of small texts against every template."""
+    r = random.Random(2)
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    templates = {k: [w.strip(licenses._EDGES).lower() for w in t.split()] for k, t in licenses.TEMPLATES.items()}
+    every = sorted({w for t in templates.values() for w in t})
+
+    def common(a, b):  # longest common subsequence
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], (last + 1 if x == y else max(row[j + 1], row[j]))
+        return row[-1]
+
+    seen = 0
+    for _ in range(60):
+        text = []
+        for _ in range(r.choice((1, 2, 3))):
+            text += [r.choice((*every, "zzz")) for _ in range(r.choice((0, 1, 6)))]
+            copy = list(templates[r.choice(sorted(templates))])
+            for _ in range(r.choice((0, 0, 1, 2)) if len(copy) > 10 else 0):
+                k = r.randrange(len(copy))
+                copy[k : k + r.choice((0, 1))] = ["zzz"] * r.choice((0, 1))
+            text += copy
+        words = Words([" ".join(text)])
+        numbers = scanner.numbered(words.hashes)
+        counts = np.bincount(numbers[numbers >= 0], minlength=scanner.size)
+        spans = scanner.scan(numbers, counts)
+        taken = {k for _, _, a, b in spans for k in range(a, b + 1)}
+        for name, coverage, a, b in spans:  # no more than the words there allow
+            best = common(text[a : b + 1], templates[name])
+            assert licenses.COVERAGE <= coverage <= best / len(templates[name]) + 1e-9
+        for name, t in templates.items():
+            for a in range(len(text) - len(t) + 1):
+                if text[a : a + len(t)] == t:  # a verbatim copy, or one that overlaps it
+                    seen += 1
+                    assert (name, 1.0, a, a + len(t) - 1) in spans or any(
+                        c == 1.0 and x <= a + len(t) - 1 and y >= a for _, c, x, y in spans
+                    )
+                window = text[a : a + len(t)]
+                if common(window, t) >= 0.9 * len(t):  # an edited copy
+                    assert taken & set(range(a, a + len(t)))
+    assert seen > 60
+
+
 # --- 9 ---------------------------------------------------------------------------
 
 

@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tristrata.llm.storage import maybe_at, place_of, stored, text_of, without_places
+from tristrata.llm.storage import Steps, maybe_at, place_of, text_of, without_places
 
-#: Words in a window, those of them that must be words of the text itself, windows that
-#: prove a leak (6 windows of 8 words are 13 words in a row), and the share of a short
-#: item's windows that do.
+#: Tokens in a window, those of them that must be words of the text itself where others
+#: are placeholders, windows that prove a leak (6 windows of 8 tokens are 13 in a row),
+#: and the share of a short item's windows that do.
 WINDOW = 8
 LITERALS = 4
 PROOF = 6
 SHARE = 0.6
-#: Benchmark windows that are broadcast (16 bytes each); beyond, the join shuffles.
+#: Share of a run's windows with slots that must agree in what stands for what.
+AGREEING = 0.75
+#: Items of fewer tokens say something only where they are a whole document.
+SHORT = 4
+#: White space of more signs than these separates texts rather than words.
+BREAK = 100
+#: Benchmark windows that are broadcast (24 bytes each); beyond, the join shuffles.
 BROADCAST_WINDOWS = 200_000
 
 UNITS = (
@@ -25,16 +31,33 @@ UNITS = (
     "euro euros cent cents degree degrees mph kmh watt watts volt volts joule joules"
 ).split()
 _MARK = "\u0001"
+_SPACE = r"[\s\u00a0\u2000-\u200a\u202f\u3000]"
 _NUMBER = r"\p{Nd}+(?:[.,:/]\p{Nd}+)*"
+# Scripts that put no spaces between words (Thai to Lao, Burmese, Khmer,
+# kana, Han); each of their letters is a token.
+_UNSPACED = (
+    r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+    r"\x{20000}-\x{3ffff}"
+)
+_WORD = rf"[\p{{L}}&&[^{_UNSPACED}]]+|[\p{{L}}&&[{_UNSPACED}]]"
 
 
-def raw_tokens(text: Column) -> Column:
-    """Numbers and words; a mark stands before a name: a capitalised word after a
-    small letter, digit, comma or semicolon and a space."""
-    marked = F.regexp_replace(
-        text, r"(?<=[\p{Ll}\p{Nd},;] )(?=\p{Lu}\p{Ll})", _MARK
-    )
-    return F.regexp_extract_all(marked, F.lit(rf"({_NUMBER}|{_MARK}?\p{{L}}+)"), F.lit(1))
+def marked(text: Column) -> Column:
+    """A mark before each name: a capitalised word after a small letter, digit, comma or
+    semicolon and white space (of up to BREAK signs)."""
+    after = rf"(?<=[\p{{Ll}}\p{{Nd}},;]{_SPACE}{{1,{BREAK}}})"
+    return F.regexp_replace(text, rf"(?=\p{{Lu}}\p{{Ll}}){after}", _MARK)
+
+
+def raw_tokens(marked_text: Column) -> Column:
+    """Numbers and words, names with their marks."""
+    token = F.lit(rf"({_NUMBER}|{_MARK}?(?:{_WORD}))")
+    return F.regexp_extract_all(marked_text, token, F.lit(1))
+
+
+def plain_token(t: Column) -> Column:
+    """A token in small letters, whatever it may stand for."""
+    return F.lower(F.ltrim(t, F.lit(_MARK)))
 
 
 def template_tokens(tokens: Column) -> Column:
@@ -59,44 +82,83 @@ def template_tokens(tokens: Column) -> Column:
     return F.transform(tokens, one)
 
 
-def _windows(tokens: Column, size: int) -> Column:
-    """A hash of each run of ``size`` tokens; null if there are fewer."""
-    starts = F.sequence(F.lit(1), F.size(tokens) - (size - 1))
-    hashed = F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, size)))
-    return F.when(F.size(tokens) >= size, hashed)
+def _hashed(rows: DataFrame, text: Column) -> DataFrame:
+    """``rows`` with ``raw`` tokens of the text and two hashes of each: as in the template
+    (``t``) and plain (``p``)."""
+    found = rows.withColumn("_marked", marked(text)).withColumns(
+        {"raw": raw_tokens(F.col("_marked")), "_typed": F.col("_marked").rlike(rf"[{_MARK}\p{{Nd}}]")}
+    )
+    raw, is_typed = F.col("raw"), F.col("_typed")
+    # Many texts hold no name or number: their tokens are small-letter words.
+    small = F.transform(raw, lambda t: F.xxhash64(F.lower(t)))
+    kinds = F.transform(template_tokens(raw), lambda k: F.xxhash64(k))
+    plain = F.transform(raw, lambda t: F.xxhash64(plain_token(t)))
+    hashed = found.withColumn("t", F.when(is_typed, kinds).otherwise(small))
+    return hashed.withColumn("p", F.when(is_typed, plain).otherwise(F.col("t"))).drop(
+        "_marked", "_typed"
+    )
+
+
+def _windows(size: int) -> Column:
+    """Hashes of each run of ``size`` tokens, plain, and after these typed, unless all are
+    the same; null if there are fewer tokens."""
+    starts = F.sequence(F.lit(1), F.size("t") - (size - 1))
+
+    def of(kind: str) -> Column:
+        return F.transform(starts, lambda i: F.xxhash64(F.slice(F.col(kind), i, size)))
+
+    both = F.when(F.col("t") == F.col("p"), of("p")).otherwise(F.concat(of("p"), of("t")))
+    return F.when(F.size("t") >= size, both)
 
 
-def _benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Items (item_id, raw, tokens, size, need) and windows (size, hash, item_id, at).
+def _benchmark_windows(steps: Steps, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Items (item, item_id, raw, kinds, size, all_windows, need, typed_windows,
+    typed_need) and windows (size, hash, item, at, typed, proves).
 
-    Items shorter than a window are one window of their own length.  Windows with too
-    few literal words prove nothing and are left out.
+    An item shorter than a window is one window of its own length.  Every window is there
+    with its plain tokens.  One with placeholders is there ``typed`` as well, if enough
+    of its tokens are words of its own.  ``proves``: a window of the template.
     """
     items = (
         benchmark.where(F.col("item_id").isNotNull())
-        .select("item_id", raw_tokens(text_of()).alias("raw"))
+        .transform(_hashed, text_of())
         .dropDuplicates(["item_id", "raw"])
-        .withColumn("tokens", template_tokens(F.col("raw")))
-        .withColumn("size", F.least(F.size("tokens"), F.lit(WINDOW)))
+        .select("item_id", "raw", "t", "p", template_tokens(F.col("raw")).alias("kinds"))
+        .withColumn("size", F.least(F.size("raw"), F.lit(WINDOW)))
         .withColumn("item", F.xxhash64("item_id", "raw"))
-        .where("size >= 4")
+        .where("size > 0")
     )
-    starts = F.sequence(F.lit(1), F.size("tokens") - F.col("size") + 1)
-    run = F.slice("tokens", F.col("at") + 1, F.col("size"))
-    literal = F.size(F.filter(F.col("run"), lambda t: ~F.startswith(t, F.lit("#"))))
-    windows = (
-        items.select("item", "item_id", "tokens", "size", F.posexplode(starts).alias("at", "_"))
-        .withColumn("run", run)
-        .where(literal * WINDOW >= F.col("size") * LITERALS)
-        .select("size", F.xxhash64("run").alias("hash"), "item", "at")
+    starts = F.sequence(F.lit(1), F.size("raw") - F.col("size") + 1)
+
+    def run(of: str) -> Column:
+        return F.slice(F.col(of), F.col("at") + 1, F.col("size"))
+
+    literal = F.size(F.filter(run("kinds"), lambda t: ~F.startswith(t, F.lit("#"))))
+    cut = (
+        items.select("item", "size", "kinds", "t", "p", F.posexplode(starts).alias("at", "_"))
+        .select(
+            "size", "item", "at",
+            F.xxhash64(run("t")).alias("t"), F.xxhash64(run("p")).alias("p"),
+            (literal == F.col("size")).alias("bare"),
+            ((literal * WINDOW >= F.col("size") * LITERALS) & (F.col("size") >= SHORT)).alias("told"),
+        )
+    )
+    plain = cut.select("size", F.col("p").alias("hash"), "item", "at", F.lit(False).alias("typed"), F.col("bare").alias("proves"))
+    typed = cut.where("told and not bare").select(
+        "size", F.col("t").alias("hash"), "item", "at", F.lit(True).alias("typed"), F.lit(True).alias("proves")
     )
-    windows = stored(windows)
-    need = windows.groupBy("item").agg(F.count(F.lit(1)).alias("n_windows"))
-    items = items.join(need, "item").withColumn(
-        "need",
-        F.least(F.lit(PROOF), F.greatest(F.lit(1), F.floor(F.col("n_windows") * SHARE))),
+    windows = steps.store(plain.union(typed))
+
+    def need(n: str) -> Column:
+        return F.least(F.lit(PROOF), F.greatest(F.lit(1), F.floor(F.col(n) * SHARE)))
+
+    counts = windows.groupBy("item").agg(
+        F.count_if(~F.col("typed")).alias("all_windows"), F.count_if("proves").alias("typed_windows")
+    )
+    items = items.drop("t", "p").join(counts, "item").withColumns(
+        {"need": need("all_windows"), "typed_need": F.when(F.col("typed_windows") > 0, need("typed_windows"))}
     )
-    return stored(items.drop("tokens")), windows
+    return steps.store(items), windows
 
 
 def _hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
@@ -105,115 +167,140 @@ def _hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
     known = windows
     if sum(r["count"] for r in counted) <= BROADCAST_WINDOWS:
         known = F.broadcast(windows)
-    tokens = docs.select(
-        place_of().alias("place"), template_tokens(F.col("raw")).alias("tokens")
+    tokens = _hashed(docs.withColumn("place", place_of()), F.col("text")).select("place", "t", "p")
+    out = docs.select(place_of().alias("place")).limit(0).selectExpr(
+        "place", "0L as item", "0 as at", "false as typed", "false as proves", "0 as pos"
     )
-    out = None
     for row in counted:
         size = row["size"]
-        runs = tokens.select("place", F.posexplode(_windows(F.col("tokens"), size)).alias("pos", "hash"))
+        held = tokens if size >= SHORT else tokens.where(F.size("t") == size)
+        number = (F.size("t") - (size - 1)).alias("number")
+        each = held.select("place", number, F.posexplode(_windows(size)).alias("k", "hash"))
+        runs = each.select("place", "hash", (F.col("k") % F.col("number")).alias("pos"))
         found = runs.join(known.where(F.col("size") == size), "hash").select(
-            "place", "item", "at", "pos"
+            "place", "item", "at", "typed", "proves", "pos"
         )
-        out = found if out is None else out.union(found)
+        out = out.union(found)
     return out
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """A row for each document and benchmark item that leaks into it.
+def _agreeing(typed: DataFrame, items: DataFrame, own: DataFrame) -> DataFrame:
+    """Of typed hits (place, item, shift, at) those whose slots agree with their run's,
+    and whether they are verbatim.
 
-    Numbers, units and names become typed placeholders in both.  Windows of WINDOW
-    tokens are joined by hash.  Along each run (same distance between the places in
-    document and item) the slots must be consistent: a value of the item always meets
-    the same value in the document, and different values different ones.  So a question
-    with other numbers and names is found, and chance hits of a template are not.  An
-    item leaks if PROOF different windows of it are in consistent runs (of short items,
-    SHARE of the windows).
-
-    Columns: doc_id, item_id, n_windows (found), of_windows, verbatim (all slots equal),
-    place (hash of id and text).  Null or empty texts leak nothing; items with a null id,
-    fewer than four words or no window with LITERALS words of its own are not looked
-    for; a null doc_id is reported as null; repeated rows give one row; other columns are
-    ignored; an empty table on either side gives no rows.
+    Along a run (same distance between the places in document and item) each value of the
+    item has the value that most windows put in its place, and the other way round.  A
+    window agrees if all its slots do.  A run where less than AGREEING of the windows
+    agree is a chance hit of the template.
     """
-    items, windows = _benchmark_windows(benchmark)
-    read = docs.select("doc_id", text_of().alias("text"))
-    tokened = read.withColumn("raw", raw_tokens(F.col("text")))
-    hits = _hits(tokened, windows)
-    if hits is None:
-        hits = read.select(place_of().alias("place")).limit(0).select(
-            "place", F.lit(0).cast("long").alias("item"), F.lit(0).alias("at"), F.lit(0).alias("pos")
+    offsets = F.sequence(F.lit(0), F.col("size") - 1)
+    at = F.col("at") + F.col("k")
+    run = ["place", "item", "shift"]
+    slots = (
+        typed.join(items.select("item", "raw", "kinds", "size"), "item")
+        .join(own, "place")
+        .withColumn("k", F.explode(offsets))
+        .where(F.startswith(F.get("kinds", at), F.lit("#")))
+        .select(
+            *run, "at",
+            plain_token(F.get("raw", at)).alias("theirs"),
+            plain_token(F.get("doc_raw", at + F.col("shift"))).alias("ours"),
         )
-    hits = stored(hits.distinct())
-    # Enough windows, whatever their slots: only these documents are read again.
-    enough = (
-        hits.groupBy("place", "item")
-        .agg(F.count_distinct("at").alias("n"))
-        .join(F.broadcast(items.select("item", "need")), "item")
-        .where("n >= need")
-        .select("place", "item")
     )
-    runs = stored(
-        hits.join(enough, ["place", "item"])
-        .groupBy("place", "item", (F.col("pos") - F.col("at")).alias("shift"))
-        .agg(F.sort_array(F.collect_set("at")).alias("ats"))
+    support = slots.groupBy(*run, "theirs", "ours").agg(F.count(F.lit(1)).alias("n"))
+    by_item = support.groupBy(*run, "theirs").agg(
+        F.max(F.struct("n", "ours")).getField("ours").alias("ours")
     )
-    wanted = stored(runs.select("place").distinct())
-    own = (
-        maybe_at(read, wanted)
-        .join(wanted, "place")
-        .dropDuplicates(["place"])
-        .select("doc_id", "place", raw_tokens(F.col("text")).alias("doc_raw"))
+    by_doc = support.groupBy(*run, "ours").agg(
+        F.max(F.struct("n", "theirs")).getField("theirs").alias("theirs")
     )
-    steps = F.sequence(F.lit(1), F.col("size"))
-    positions = F.array_distinct(
-        F.flatten(F.transform("ats", lambda a: F.transform(steps, lambda k: a + k - 1)))
+    pair = [*run, "theirs", "ours"]
+    good = by_item.join(by_doc, pair).select(*pair, F.lit(True).alias("good"))
+    judged = slots.join(good, pair, "left").groupBy(*run, "at").agg(
+        F.bool_and(F.coalesce("good", F.lit(False))).alias("good"),
+        F.bool_and(F.col("theirs") == F.col("ours")).alias("same"),
     )
-    paired = F.transform(
-        positions,
-        lambda p: F.struct(
-            F.get(F.col("raw"), p).alias("theirs"),
-            F.get(F.col("doc_raw"), p + F.col("shift")).alias("ours"),
-            F.get(F.col("kinds"), p).alias("kind"),
-        ),
+    shares = judged.groupBy(*run).agg(F.avg(F.col("good").cast("int")).alias("share"))
+    return judged.where("good").join(shares.where(F.col("share") >= AGREEING), run).select(
+        *run, "at", "same"
     )
-    slots = F.array_distinct(
-        F.transform(
-            F.filter(F.col("paired"), lambda x: F.startswith(x["kind"], F.lit("#"))),
-            lambda x: F.struct(x["theirs"].alias("theirs"), x["ours"].alias("ours")),
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """A row for each document and benchmark item that leaks into it.
+
+    Numbers, units and names become typed placeholders in both.  Windows of WINDOW
+    tokens are joined by hash.  Along each run the slots must be consistent: a value of
+    the item always meets the same value in the document, and different values different
+    ones (see _agreeing).  So a question with other numbers and names is found, and
+    chance hits of a template are not.  Windows are joined with their plain small-letter
+    tokens too, so what is copied word for word counts whatever its slots, case or line
+    breaks.  An item leaks if PROOF different windows of it are found (of short items,
+    SHARE of the windows), all of them, or those of its template.
+
+    Columns: doc_id, item_id, n_windows (found), of_windows, verbatim (all found ones),
+    place (hash of id and text).  Letters of scripts without spaces are a token each.
+    Null or empty texts leak nothing.  Items of fewer than SHORT tokens leak where they
+    are a whole document; items without letters and digits, or with a null id, are not
+    looked for.  A null doc_id is reported as null; repeated rows give one row; very long
+    texts are read whole; other columns are ignored; an empty table on either side gives
+    no rows.
+    """
+    spark = docs.sparkSession
+    with Steps(spark) as steps:
+        items, windows = _benchmark_windows(steps, benchmark)
+        read = docs.select("doc_id", text_of().alias("text"))
+        hits = steps.store(_hits(read, windows).distinct())
+        # Enough windows, whatever their slots: only these documents are read again.
+        enough = (
+            hits.groupBy("place", "item")
+            .agg(F.count_distinct("at").alias("n"))
+            .join(items.select("item", "need", "typed_need"), "item")
+            .where("n >= least(need, typed_need)")
+            .select("place", "item")
         )
-    )
-    judged = (
-        runs.join(items, "item")
-        .join(own, "place")
-        .withColumn("kinds", template_tokens(F.col("raw")))
-        .withColumn("paired", paired)
-        .withColumn("slots", slots)
-        .withColumn("n_slots", F.size("slots"))
-        .where(
-            (F.size(F.array_distinct(F.transform("slots", lambda x: x["theirs"]))) == F.col("n_slots"))
-            & (F.size(F.array_distinct(F.transform("slots", lambda x: x["ours"]))) == F.col("n_slots"))
+        runs = steps.store(
+            hits.join(enough, ["place", "item"]).withColumn("shift", F.col("pos") - F.col("at"))
         )
-        .withColumn("same", F.forall("slots", lambda x: x["theirs"] == x["ours"]))
-    )
-    return (
-        judged.select(
-            "place", "doc_id", "item", "item_id", "need", "n_windows", "same", F.explode("ats").alias("at")
+        wanted = steps.store(runs.select("place").distinct())
+        own = steps.store(
+            maybe_at(read, wanted)
+            .join(wanted, "place")
+            .dropDuplicates(["place"])
+            .select("doc_id", "place", raw_tokens(marked(F.col("text"))).alias("doc_raw"))
         )
-        .groupBy("place", "doc_id", "item", "item_id", "need", "n_windows")
-        .agg(F.count_distinct("at").alias("found"), F.bool_and("same").alias("verbatim"))
-        .where("found >= need")
-        .select(
+        typed = runs.where("typed").select("place", "item", "shift", "at").distinct()
+        agreeing = _agreeing(typed, items, own.select("place", "doc_raw"))
+        counted = (
+            runs.where("not typed")
+            .select("place", "item", "at", "proves", F.lit(True).alias("same"))
+            .union(agreeing.select("place", "item", "at", F.lit(True), "same"))
+            .groupBy("place", "item", "at")
+            .agg(F.bool_or("proves").alias("proves"), F.bool_or("same").alias("same"))
+            .groupBy("place", "item")
+            .agg(
+                F.count(F.lit(1)).alias("found"),
+                F.count_if("proves").alias("proving"),
+                F.bool_and("same").alias("verbatim"),
+            )
+        )
+        leaking = (
+            counted.join(items.drop("raw", "kinds"), "item")
+            .where("found >= need or proving >= typed_need")
+            .join(own.select("place", "doc_id"), "place")
+        )
+        return steps.keep(steps.store(leaking.select(
             "doc_id",
             "item_id",
             F.col("found").alias("n_windows"),
-            F.col("n_windows").alias("of_windows"),
+            F.col("all_windows").alias("of_windows"),
             "verbatim",
             "place",
-        )
-    )
+        )))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents into which an item leaks."""
-    return without_places(docs, stored(leaks(docs, benchmark).select("place").distinct()))
+    """``docs`` without the documents into which an item leaks; nulls, empty texts,
+    repeated rows and empty tables as in leaks, columns as they are, whatever their names.
+    """
+    return without_places(docs, leaks(docs, benchmark).select("place").distinct())

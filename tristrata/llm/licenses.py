@@ -15,10 +15,8 @@ from pyspark.sql import functions as F
 from tristrata.llm.storage import small_batches, text_of
 from tristrata.llm.words import Words
 
-#: Share of a template's words that must align, and share of the aligned stretch of the
-#: text that they must make up.
+#: Share of a template's words that must align.
 COVERAGE = 0.8
-DENSITY = 0.5
 
 #: Fixed license texts.
 TEMPLATES = {
@@ -60,6 +58,40 @@ TEMPLATES = {
         "the GNU General Public License as published by the Free Software Foundation, either version "
         "3 of the License, or (at your option) any later version."
     ),
+    "lgpl-3": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+        "version 3 of the License, or (at your option) any later version."
+    ),
+    "agpl-3": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Affero General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version."
+    ),
+    "mpl-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+        "copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/."
+    ),
+    "bsd-3-clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written "
+        "permission."
+    ),
+    "cc0-1.0": (
+        "To the extent possible under law, the author has waived all copyright and related or "
+        "neighboring rights to this work."
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to "
+        "copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+        "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by "
+        "any means."
+    ),
+    "boost-1.0": (
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file "
+        "LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)"
+    ),
 }
 _EDGES = "\"'()[]{}.,:;!?"
 
@@ -135,47 +167,74 @@ class Scanner:
             if np.minimum(counts, self.counts[name]).sum() < need:
                 continue
             own = self.counts[name] > 0
-            rarest = min(np.flatnonzero(own & (counts > 0)), key=lambda k: (counts[k], k))
             # A stretch may lack any one word: anchors are tried until no more can miss.
             order = sorted(np.flatnonzero(own & (counts > 0)), key=lambda k: (counts[k], k))
-            missing, tried = self.counts[name][counts == 0].sum(), [rarest]
+            missing, tried = self.counts[name][counts == 0].sum(), []
             for k in order:
-                if missing > len(template) - need:
+                if tried and missing > len(template) - need:
                     break
                 tried.append(k)
                 missing += self.counts[name][k]
-            spans, reach = {}, 2 * len(template)
-            places = np.unique(np.concatenate([np.flatnonzero(words == k) for k in set(tried)]))
-            covered = -1
+            held = np.concatenate(([0], np.cumsum(own[words] & (words >= 0))))
+            spans, exact = {}, -1
+            places = np.unique(np.concatenate([np.flatnonzero(words == k) for k in tried]))
             for at in places.tolist():
-                if at <= covered:
+                if at <= exact:  # inside a copy that lacks nothing
                     continue
-                low, high = max(0, covered + 1, at - reach), min(len(words), at + reach)
-                pairs = patience(words[low:high].tolist(), template)
-                pairs = _tight(pairs)
-                if len(pairs) < need:
+                low, high = max(0, at - 2 * len(template)), min(len(words), at + 2 * len(template))
+                if held[high] - held[low] < need:
                     continue
-                first, last = low + pairs[0][0], low + pairs[-1][0]
-                if len(pairs) >= DENSITY * (last - first + 1):
-                    spans[first] = (name, len(pairs) / len(template), first, last)
-                    covered = last
+                best = self._around(words, template, at, need)
+                if best:
+                    spans[best[1:]] = (name, best[0] / len(template), *best[1:])
+                    if best[0] == len(template) == best[2] - best[1] + 1:
+                        exact = best[2]
             found += spans.values()
         # Texts of a family align with each other's templates: the best stretch stays.
-        found.sort(key=lambda x: (-x[1], x[2] - x[3], x[0]))
+        found.sort(key=lambda x: (-x[1], x[3] - x[2], x[2], x[0]))
         kept: list[tuple] = []
         for span in found:
             if all(span[3] < x[2] or x[3] < span[2] for x in kept):
                 kept.append(span)
         return sorted(kept, key=lambda x: x[2])
 
+    def _around(self, words: np.ndarray, template: list, at: int, need: float) -> tuple | None:
+        """(aligned words, first, last) of the best stretch through the anchor at ``at``.
+
+        The anchor splits text and template; both sides are aligned from the anchor
+        outward, first in a window that holds just one copy, then in wider ones, which
+        words put in between may need.
+        """
+        best = None
+        for j in [k for k, w in enumerate(template) if w == words[at]]:
+            for slack in (0, len(template) // 4, len(template)):
+                low, high = max(0, at - j - slack), min(len(words), at + len(template) - j + slack)
+                back = patience(words[low:at][::-1].tolist(), template[:j][::-1])
+                on = patience(words[at + 1 : high].tolist(), template[j + 1 :])
+                pairs = [at - 1 - x for x, _ in reversed(back)] + [at] + [at + 1 + x for x, _ in on]
+                aligned, first, last = _densest(pairs)
+                if aligned >= need and (best is None or (aligned, first - last) > (best[0], best[1] - best[2])):
+                    best = (aligned, first, last)
+                if best and best[0] == len(template):
+                    return best
+        return best
+
 
-def _tight(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Without pairs at the ends that lie far from the rest in the text."""
-    while len(pairs) > 2 and pairs[1][0] - pairs[0][0] > 8:
-        pairs = pairs[1:]
-    while len(pairs) > 2 and pairs[-1][0] - pairs[-2][0] > 8:
-        pairs = pairs[:-1]
-    return pairs
+def _densest(places: list[int]) -> tuple[int, int, int]:
+    """Of aligned places in order the run with most aligned words less those between
+    them, as (aligned words, first, last); at least half of its words align."""
+    top, run, start = 0, 0, 0
+    best = (0, 0, 0)
+    for k, place in enumerate(places):
+        gap = place - places[k - 1] - 1 if k else 0
+        if k == 0 or run - gap <= 0:
+            run, start = 0, k
+        else:
+            run -= gap
+        run += 1
+        if run > top:
+            top, best = run, (k - start + 1, places[start], place)
+    return best
 
 
 def license_spans(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
