@@ -10,6 +10,7 @@ from tristrata.operators import conform
 from tristrata.operators.columns import normalize_names, unloadable
 from tristrata.operators.dedupe import duplicate_keys, keep_first
 from tristrata.operators.joining import absent, insert_if_absent
+from tristrata.operators import sampling
 from tristrata.operators.sampling import capped_sample
 from tristrata.plans import gold, rules, views
 
@@ -132,6 +133,29 @@ def test_sample_is_the_lowest_digests_whatever_the_layout(spark):
         assert [r.id for r in drawn] == ids[:100]
 
 
+@pytest.mark.parametrize("sorted_rows", [1, 7, 10_000])
+def test_sample_refined_to_any_depth(spark, monkeypatch, sorted_rows):
+    import hashlib
+
+    monkeypatch.setattr(sampling, "SORTED_ROWS", sorted_rows)
+    rows = [(k % 40, k) for k in range(400)] + [(3, 3)] * 30  # shared keys, equal rows
+    df = spark.createDataFrame(rows, "id long, v long").repartition(7)
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    ranked = sorted(rows, key=lambda r: (md5(str(r[0])), md5(str(r[1])), r[1]))
+    for size in (1, 9, 50, 399, 430, 1000):
+        drawn = capped_sample(df, size, ["id"], ["v"]).collect()
+        assert sorted(tuple(r) for r in drawn) == sorted(ranked[:size])
+
+
+def test_sample_compares_once_and_sorts_the_boundary_only(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "SORTED_ROWS", 500)
+    drawn = capped_sample(numbered(spark, 20_000), 9_000, ["id"])
+    plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Sort [") == 1 and "Join" not in plan and "Aggregate" not in plan
+    assert "GlobalLimit" in plan and "GlobalLimit 9000" not in plan
+    assert drawn.count() == 9_000
+
+
 def test_sample_with_one_hot_key(spark):
     df = numbered(spark, 900).union(numbered(spark, 300).withColumn("id", F.lit("hot")))
     assert capped_sample(df, 250, ["id"]).count() == 250
