@@ -54,13 +54,15 @@ def _coordinates(rows: DataFrame) -> DataFrame:
     low = rows.agg(
         F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.max("size").alias("s")
     ).first()
-    start, extent = low["a"] or 0, max(1, (low["b"] or 0) - (low["a"] or 0))
+    # As doubles: ids may lie further apart than a long can tell.
+    start = float(low["a"] or 0)
+    extent = max(1.0, float(low["b"] or 0) - start)
     most = float(low["s"] or 8)
     place = {
         "d_size": F.log2(F.col("size") / 8.0) / F.log2(F.lit(max(16.0, most) / 8.0)),
         "d_source": F.col("d_source"),
         "d_lang": F.col("d_lang"),
-        "d_id": F.coalesce((F.col("doc_id") - start) / float(extent), F.lit(0.0)),
+        "d_id": F.coalesce((F.col("doc_id").cast("double") - start) / extent, F.lit(0.0)),
     }
     spread = F.pmod(F.xxhash64("doc_id", "text_crc32", "row"), F.lit(1 << 32)) / float(1 << 52)
     return rows.withColumns({k: v + spread for k, v in place.items()})

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tristrata.session import settings, shared_folder
+
 #: Rows handed to Python at a time, and their bytes; a longer row goes alone.
 BATCH_ROWS = 512
 BATCH_BYTES = 1 << 20
@@ -23,29 +22,10 @@ ARROW_BATCHES = {
 #: Bits of the filter for rows that are looked for.
 FILTER_BITS = 1 << 22
 
-_OWN: dict[str, str] = {}
-
 #: Shuffle files go when the job that wrote them ends, not when the driver collects garbage.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``.
-
-    Where it is unset, a local session gets a temporary folder.  On a cluster that is an
-    error, as executors would each write to a disk of their own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        own = spark.sparkContext.applicationId
-        if own not in _OWN:
-            _OWN[own] = tempfile.mkdtemp(prefix="tristrata-")
-        folder = _OWN[own]
-    return folder.rstrip("/")
-
-
 def stored(rows: DataFrame) -> DataFrame:
     """``rows``, written as Parquet to the shared folder and read back.
 
@@ -102,20 +82,6 @@ class Steps:
             del self.paths[path]
 
 
-@contextmanager
-def settings(spark: SparkSession, **values: str) -> Iterator[None]:
-    """Session settings for the jobs run inside; then as before."""
-    named = dict(values)
-    before = {k: spark.conf.get(k, None) for k in named}
-    for k, v in named.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def small_batches(spark: SparkSession) -> None:
     for name, value in ARROW_BATCHES.items():
         spark.conf.set(name, value)
