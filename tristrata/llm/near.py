@@ -22,8 +22,9 @@ from tristrata.llm.storage import (
 from tristrata.llm.words import Words, mix, shingle_sets
 from tristrata.operators.joining import join_summary
 
-#: Longs in a document's parity sketch.
-SKETCH_LONGS = 8
+#: Longs in a document's parity sketch, a power of two, and in its fold.
+SKETCH_LONGS = 32
+FOLD_LONGS = 8
 #: Rounds in which a part's documents are held against one of them, before the rest.
 STAR_ROUNDS = 2
 #: Bits of the filter for keys that several classes share (4 MB).
@@ -57,13 +58,15 @@ def _parts(band: int, num: int, den: int) -> tuple[int, int]:
     return apart, apart + 1 + slack
 
 
-def _sketches(shingles: np.ndarray) -> tuple[int, int, list[int]]:
-    """Two digests of the set, and its parity sketch: a bit for each slot that an odd
-    number of shingles fall into."""
+def _sketches(shingles: np.ndarray) -> tuple[int, int, list[int], list[int]]:
+    """Two digests of the set, its parity sketch (a bit for each slot that an odd number of
+    shingles fall into), and the sketch of fewer slots that it folds into."""
     odd = np.bincount((shingles & _U(64 * SKETCH_LONGS - 1)).astype("int64"),
                       minlength=64 * SKETCH_LONGS).astype("uint8") & 1
+    fold = np.bitwise_xor.reduce(odd.reshape(-1, 64 * FOLD_LONGS), axis=0)
     digest = np.bitwise_xor.reduce(shingles), mix(shingles ^ _U(5)).sum(dtype="uint64")
-    return (*(int(d.astype("int64")) for d in digest), np.packbits(odd).view("int64").tolist())
+    longs = [np.packbits(x).view("int64").tolist() for x in (odd, fold)]
+    return (*(int(d.astype("int64")) for d in digest), *longs)
 
 
 def _part_keys(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -107,32 +110,42 @@ def _sketched(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                     "d1": [p[0] for p in pairs],
                     "d2": [p[1] for p in pairs],
                     "sketch": [p[2] for p in pairs],
+                    "fold": [p[3] for p in pairs],
                     "keys": [_part_keys(s, num, den) for s in sets],
                 }
             )
 
     schema = "doc_id long, place long, n_shingles long, d1 long, d2 long"
-    schema += ", sketch array<long>, keys array<long>"
+    schema += ", sketch array<long>, fold array<long>, keys array<long>"
     read = docs.select(
         F.col("doc_id").cast("long"), place_of().alias("place"), text_of().alias("text")
     )
     return read.mapInPandas(made, schema).withColumn("row", F.monotonically_increasing_id())
 
 
-def _may_link(n: str, m: str, sketch: str, other: str, num: int, den: int):
-    """Sizes allow a link, and so do the sketches: sets whose sketches differ in h bits
-    differ in h shingles at least."""
-    apart = sum(
-        (F.bit_count(F.get(F.col(sketch), F.lit(i)).bitwiseXOR(F.get(F.col(other), F.lit(i))))
-         for i in range(SKETCH_LONGS)),
-        F.lit(0),
-    )
+def _may_link(n: str, m: str, apart, num: int, den: int):
+    """Sizes allow a link, and so do sketches that differ in ``apart`` bits: the sets
+    differ in as many shingles at least."""
     sizes = F.col(n) + F.col(m)
     return (F.least(n, m) * den >= F.greatest(n, m) * num) & (
         apart * (den + num) <= sizes * (den - num)
     )
 
 
+def _bits_apart(sketch: str, other: str):
+    differing = F.zip_with(sketch, other, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(differing, F.lit(0), lambda x, y: x + y)
+
+
+def _bits_apart_unrolled(sketch: str, other: str, longs: int):
+    """The same as one plain expression, for very many pairs of short sketches."""
+    return sum(
+        (F.bit_count(F.get(F.col(sketch), F.lit(i)).bitwiseXOR(F.get(F.col(other), F.lit(i))))
+         for i in range(longs)),
+        F.lit(0),
+    )
+
+
 def _linked(
     steps: Steps, pairs: DataFrame, docs: DataFrame, rows: DataFrame, n: int, num: int, den: int
 ) -> DataFrame:
@@ -196,8 +209,12 @@ def _star_pairs(mixed: DataFrame, known: DataFrame, turn: int, num: int, den: in
         )
         .distinct()
     )
-    left, right = _sides(known)
-    fits = _may_link("n", "m", "s", "t", num, den)
+    return _sketches_fit(pairs, known, num, den)
+
+
+def _sketches_fit(pairs: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
+    left, right = _sides(known.drop("fold"))
+    fits = _may_link("n", "m", _bits_apart("s", "t"), num, den)
     return pairs.join(left, "u").join(right, "v").where(fits).select("u", "v")
 
 
@@ -209,11 +226,12 @@ def _several(rows: DataFrame, value: str) -> DataFrame:
 
 def _rest_pairs(mixed: DataFrame, known: DataFrame, turn: int, num: int, den: int) -> DataFrame:
     """All classes of a part that are not in one component yet."""
-    left, right = _sides(mixed.join(known, "node"))
+    folded = known.drop("sketch").withColumnRenamed("fold", "sketch")
+    left, right = _sides(mixed.join(folded, "node"))
     different = (F.col("u") < F.col("v")) & (F.col("p") != F.col("q"))
-    fits = _may_link("n", "m", "s", "t", num, den)
+    fits = _may_link("n", "m", _bits_apart_unrolled("s", "t", FOLD_LONGS), num, den)
     both = left.join(right, "key").where(different & fits)
-    return both.select("u", "v").distinct()
+    return _sketches_fit(both.select("u", "v").distinct(), known, num, den)
 
 
 def components(links: DataFrame, steps: Steps) -> DataFrame:
@@ -277,7 +295,8 @@ def near_groups(
     dealt = chosen.select(F.col("row").alias("node"), F.explode("keys").alias("key"))
     # Most keys are held by one class and meet nothing: they are counted once, in
     # one shuffle, and the filter keeps their rows out of the join.
-    shared = steps.store(_several(dealt, "node"))
+    held = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    shared = steps.store(held.where("n > 1").select("key"))
     meeting = steps.store(
         join_summary(maybe_in(dealt, shared, KEY_BITS).where("_maybe").drop("_maybe"),
                      shared, ["key"], "inner").select("key", "node")
@@ -285,19 +304,22 @@ def near_groups(
     steps.drop(sketched, shared)
     nodes = steps.store(meeting.select("node").distinct())
     known = steps.store(
-        rows.select(F.col("row").alias("node"), "n_shingles", "sketch").join(
+        rows.select(F.col("row").alias("node"), "n_shingles", "sketch", "fold").join(
             nodes, "node", "left_semi"
         )
     )
-    labels = nodes.select("node", F.col("node").alias("label"))
-    links = None
+    # Keys whose classes are all in one component have done their work; from turn to
+    # turn fewer are left.
+    labels, links = None, None
+    mixed = meeting.withColumn("label", F.col("node"))
     for turn in range(STAR_ROUNDS + 1):
-        told = steps.store(meeting.join(labels, "node").select("key", "node", "label"))
-        mixed = steps.store(join_summary(told, _several(told, "label"), ["key"], "left_semi"))
-        steps.drop(told)
+        if turn:
+            told = steps.store(mixed.drop("label").join(labels, "node"))
+            steps.drop(mixed)
+            mixed = steps.store(join_summary(told, _several(told, "label"), ["key"], "left_semi"))
+            steps.drop(told)
         find = _star_pairs if turn < STAR_ROUNDS else _rest_pairs
         pairs = steps.store(find(mixed, known, turn, num, den))
-        steps.drop(mixed)
         new = _linked(steps, pairs, docs, rows, n, num, den)
         steps.drop(pairs)
         links = new if links is None else links.union(new)
