@@ -32,12 +32,14 @@ from tristrata.operators.columns import normalize_names, unloadable
 from tristrata.operators.dedupe import duplicate_keys
 from tristrata.operators.joining import absent, unique_rows
 from tristrata.operators.sampling import capped_sample
+from tristrata.operators.schema_diff import against
 from tristrata.operators.stamps import INGESTED, stamp_ingested, stamp_loaded
 from tristrata.plans import gold as gold_plans
 from tristrata.plans import rules, views
 from tristrata.plans.silver import silver
 from tristrata.sinks.jdbc import jdbc_options, load_jdbc
 from tristrata.sinks.tables import Split, append, append_rows, overwrite, read_table
+from tristrata.sinks.versions import TableLog
 from tristrata.sources.multiline import read_multiline
 from tristrata.sources.ndjson import MALFORMED, REJECT, read_raw, with_rejects
 
@@ -239,13 +241,19 @@ def load_table(
     became null.  Keys held twice are found on the keys alone and written as a report
     first.  Only rows with a reported key are ranked against each other, so a table
     whose keys are unique is loaded without shuffling its rows, and what was written
-    first becomes its next version.  Where nothing would be
+    first becomes its next version.  Differences between the stored table and the contract
+    are logged before they are replaced.  Where nothing would be
     loaded, the table keeps the rows it had.
     """
     name, key = contract.name, list(contract.identity)
     named = normalize_names(source)
     for column, reason in unloadable(named, contract).items():
         log.warning("%s: column %s is not loaded: %s", name, column, reason)
+    before = TableLog(spark, to.table(name)).newest()
+    for d in against(before.schema, contract) if before else ():
+        log.warning(
+            "%s: column %s: %s (stored %s, wanted %s)", name, d.column, d.kind, d.stored, d.wanted
+        )
     prepared = conform.loadable(named, contract)
     counts = {
         "held": F.count_if(F.col(conform.HELD)),
