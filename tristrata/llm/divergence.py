@@ -22,13 +22,16 @@ MIN_DOCS = 3
 #: Ranks of part ``term``.
 TOP_TERMS = 200
 #: Counts a counting task holds before it hands them on.
-HELD_COUNTS = 200_000
+HELD_COUNTS = 400_000
 #: Index entries a slab holds on average, and entries scattered at once.
 SLAB_ENTRIES = 200_000
 SCATTER = 1 << 20
 #: Bytes of a text that are split into terms at once.
 PIECE = 1 << 20
 
+# Occurrences and texts of a term are counted in one number, within a task.
+_ONE_TEXT = 1 << 36
+
 # In UTF-8 the bytes of every character beyond ASCII are 0x80 or more.
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _GAP = re.compile(rb"[^A-Za-z\x80-\xff]")
@@ -49,37 +52,43 @@ def _terms(text: bytes) -> Counter:
 def _counted(docs: DataFrame) -> DataFrame:
     """tf and df of each (lang, source, term), added up within a task first."""
 
-    def frame(held: dict) -> pa.RecordBatch:
-        rows = [
-            (lang, source, term.decode(), n, df[term])
-            for (lang, source), (tf, df) in held.items()
-            for term, n in tf.items()
-        ]
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = [pa.string()] * 3 + [pa.int64()] * 2
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            names=["lang", "source", "term", "tf", "df"],
-        )
+    def frames(held: dict) -> Iterator[pa.RecordBatch]:
+        for (lang, source), counts in held.items():
+            n = len(counts)
+            both = np.fromiter(counts.values(), "int64", n)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.repeat(pa.scalar(lang, pa.string()), n),
+                    pa.repeat(pa.scalar(source, pa.string()), n),
+                    pa.array(list(counts), pa.binary()),
+                    pa.array(both & (_ONE_TEXT - 1)),
+                    pa.array(both // _ONE_TEXT),
+                ],
+                names=["lang", "source", "term", "tf", "df"],
+            )
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = {}, 0
         for batch in batches:
             for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                tf, df = held.setdefault((lang, source), (Counter(), Counter()))
-                before, own = len(tf), _terms(text)
-                tf.update(own)
-                df.update(own.keys())
-                size += len(tf) - before
+                counts = held.setdefault((lang, source), {})
+                before, seen = len(counts), counts.get
+                for term, n in _terms(text).items():
+                    counts[term] = seen(term, 0) + n + _ONE_TEXT
+                size += len(counts) - before
                 if size > HELD_COUNTS:
-                    yield frame(held)
+                    yield from frames(held)
                     held, size = {}, 0
-        yield frame(held)
+        yield from frames(held)
 
     given = docs.select("lang", "source", F.col("text").cast("binary"))
-    counts = given.mapInArrow(made, "lang string, source string, term string, tf long, df long")
-    return counts.groupBy("lang", "source", "term").agg(
-        F.sum("tf").alias("tf"), F.sum("df").alias("df")
+    counts = given.mapInArrow(made, "lang string, source string, term binary, tf long, df long")
+    # All that is done by term needs this one shuffle.
+    return (
+        counts.withColumn("term", F.col("term").cast("string"))
+        .repartition("lang", "term")
+        .groupBy("lang", "source", "term")
+        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     )
 
 
@@ -217,18 +226,20 @@ def divergences(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS)
     spark = docs.sparkSession
     given = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     with Steps(spark) as steps, settings(spark, **ARROW_BATCHES):
-        counts = steps.store(_counted(given))
-        terms = steps.store(
-            counts.groupBy("lang", "term")
-            .agg(F.sum("df").alias("df"), F.sum("tf").alias("lang_tf"))
-            .where(F.col("df") >= min_docs)
-        )
+        term = Window.partitionBy("lang", "term")
         kept = steps.store(
-            counts.join(terms.select("lang", "term", "lang_tf"), ["lang", "term"])
+            _counted(given)
+            .select(
+                "lang", "source", "term", "tf",
+                F.sum("df").over(term).alias("in_docs"),
+                F.sum("tf").over(term).alias("lang_tf"),
+                (F.min("source").over(term) == F.col("source")).alias("is_first"),
+            )
+            .where(F.col("in_docs") >= min_docs)
+            .drop("in_docs")
         )
-        steps.drop(counts)
-        langs = terms.groupBy("lang").agg(
-            F.count(F.lit(1)).alias("kept"), F.sum("lang_tf").alias("lang_n")
+        langs = kept.groupBy("lang").agg(
+            F.count_if("is_first").alias("kept"), F.sum("tf").alias("lang_n")
         )
         own = kept.groupBy("lang", "source").agg(
             F.sum("tf").alias("n"), F.count(F.lit(1)).alias("terms")
@@ -245,7 +256,6 @@ def divergences(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS)
             .withColumn("p0", _share("zero", "n", "kept"))
             .drop("zero")
         )
-        steps.drop(terms)
         entries = steps.store(
             join_summary(kept, groups, ["lang", "source"], "inner").select(
                 "lang", "source", "sid", "term", "p0",
