@@ -5,6 +5,11 @@
    five-word shingles one document stays.
 3. decontaminate: documents into which a benchmark item leaks go.
 4. pack: the rest as token sequences.
+
+In every stage null texts count as empty ones, null ids are ids like others, repeated rows
+are judged each (the second one lets one of them stay), texts of any length are read whole,
+and an empty table gives an empty one.  The first three return the columns they were given,
+whatever their names.
 """
 
 from __future__ import annotations
