@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +88,40 @@ def test_a_large_file_uses_many_tasks(spark, small_splits, tmp_path):
     assert read.select("split").distinct().count() > 20
     theirs = spark.read.schema(SCHEMA).option("multiLine", True).json(str(tmp_path))
     assert theirs.rdd.getNumPartitions() == 1
+
+
+def test_records_cross_batches_and_splits(spark, small_splits, tmp_path):
+    """A task sees a few chunks at once, a record in many pieces, and files of one split."""
+    rows = [{"id": k, "s": ODD[k % len(ODD)], "x": [{"y": "}"}] * (k % 9)} for k in range(120)]
+    texts = [json.dumps(r, indent=1) for r in rows]
+    (tmp_path / "long.json").write_text("[" + ",\n".join(texts) + "]\n")
+    (tmp_path / "cut.json").write_text("\n".join(texts)[:-3])
+    for k in range(5):
+        (tmp_path / f"short{k}.json").write_text(texts[k + 3] if k % 2 else f"[{texts[k]}, {texts[0]}] ")
+    rows_at_once = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows_at_once)
+    spark.conf.set(rows_at_once, "3")
+    try:
+        read = read_records(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set(rows_at_once, before)
+    by_file = {}
+    for r in sorted(read, key=lambda r: (r.path, r.split, r.record)):
+        by_file.setdefault(r.path.split("/")[-1][:-5], []).append(r.text)
+    short = {f"short{k}": [texts[k + 3]] if k % 2 else [texts[k], texts[0]] for k in range(5)}
+    cut = [*texts[:-1], texts[-1][:-3].rstrip(" ")]
+    assert by_file == {"long": texts, "cut": cut, **short}
+
+
+def test_a_split_is_not_gathered_in_a_task(spark, small_splits, tmp_path):
+    """No sort, window or shuffle has the chunks of a split, whose size is that of its text:
+    what is shuffled is by file, and a few rows a split."""
+    (tmp_path / "one.json").write_text(json.dumps(records(3, 300), indent=2))
+    read = read_records(spark, str(tmp_path))
+    assert read.count() == 300
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    by = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert by and not [b for b in by if "split" in b], by
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    # Each reading has the same splits, also if executors come or go between them.
+    assert int(spark.conf.get("spark.sql.files.minPartitionNum")) >= 1
